@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.operators import schema_drift, split_values
+from gristmill.functions import geo
+from gristmill.operators import schema_drift, spatial, split_values
 from gristmill.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,8 +43,16 @@ def p4_all_values(spark: SparkSession, folder: str) -> DataFrame:
     return split_values.split_fields(table(spark, folder, "producteurs_export"), "export_no", PACKED_FIELDS)
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every located listing with every establishment within 100 m (problem 5)."""
+    point = geo.located(F.col("lat"), F.col("lon"))
+    listings = table(spark, folder, "listings").select("listing_no", point.alias("p")).filter("p IS NOT NULL").select("listing_no", "p.lat", "p.lon")
+    places = table(spark, folder, "population").select("siret", point.alias("p")).filter("p IS NOT NULL").select("siret", "p.lat", "p.lon").distinct()
+    return spatial.distance_join(listings, places, 100.0).select("listing_no", "siret").distinct()
+
+
 def queries() -> dict[str, Query]:
-    found = (p3_found, p3_catalogue, p3_consolidated, p4_found, p4_all_values)
+    found = (p3_found, p3_catalogue, p3_consolidated, p4_found, p4_all_values, p5_found)
     return {f.__name__: f for f in found}
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import format_duplicates
+from gristmill.functions import contact
+from gristmill.llm import format_duplicates, representative
 from gristmill.sources.tables import table
 
 #: Tables whose records repeat: id, columns that don't count, addresses, pairs that may change places.
@@ -38,8 +39,37 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _exports(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
+    """Rows of producteurs_export by siret with ranks and currency, and the fields that compete."""
+    sources = {"telephone_final": "source_telephone", "email_final": "source_email", "website_final": "source_website"}
+    rows = table(spark, folder, "producteurs_export").withColumn("siret", contact.clean_siret(F.col("siret")))
+    rows = rows.withColumn("version", F.regexp_extract(F.coalesce("export_version", F.lit("")), r"^(v\d+)", 1))
+    labelled = table(spark, folder, "source_ranks").withColumn("source", contact.source_label(F.col("source")))
+    rows = representative.ranked(rows, labelled, {f: contact.source_label(F.col(s)) for f, s in sources.items()})
+    usable = {
+        "telephone_final": contact.national_digits(F.col("telephone_final")).isNotNull(),
+        "email_final": contact.usable_email(F.col("email_final")) & ~F.coalesce(F.lower(contact.trimmed(F.col("email_statut"))) == "invalide", F.lit(False)),
+        "website_final": contact.usable_website(F.col("website_final")),
+    }
+    grouped = representative.with_currency(rows.filter("siret IS NOT NULL"), "siret", "exported_at", "export_no", ["version", "statut_sirene"])
+    return grouped, {f: (usable[f], F.col(f"_rank_{f}")) for f in sources}
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Whose telephone, e-mail and website survive for each siret exported more than once (problem 2)."""
+    rows, fields = _exports(spark, folder)
+    return representative.survivors(rows, "siret", "export_no", fields).filter("n_rows > 1").select("siret", "field", F.col("id").alias("export_no"))
+
+
+def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    """One surviving row per siret, filled field by field."""
+    rows, fields = _exports(spark, folder)
+    rest = ["raisonSociale", "gerant", "codeNAF", "adresse", "codePostal", "ville", "sous_segment", "productions", "statut_sirene"]
+    return representative.merged(rows, "siret", "export_no", fields, rest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_records)
+    found = (p1_found, p1_records, p2_found, p2_survivors)
     return {f.__name__: f for f in found}
 
 

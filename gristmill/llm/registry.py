@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import contact
-from gristmill.llm import format_duplicates, representative
+from gristmill.llm import format_duplicates, reading_level, representative
 from gristmill.sources.tables import table
 
 #: Tables whose records repeat: id, columns that don't count, addresses, pairs that may change places.
@@ -68,8 +68,25 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return representative.merged(rows, "siret", "export_no", fields, rest)
 
 
+def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Score and reading level of every document."""
+    documents = table(spark, folder, "documents")
+    return reading_level.predict(documents, reading_level.fit(documents, table(spark, folder, "doc_levels")))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of level 4 or 5 (problem 10)."""
+    return p10_levels(spark, folder).filter("level >= 4").select("doc_id")
+
+
+def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile of the corpus: documents of each level by source."""
+    by = p10_levels(spark, folder).join(table(spark, folder, "documents").select("doc_id", "source"), "doc_id")
+    return by.groupBy("source", "level").agg(F.count(F.lit(1)).alias("documents"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_records, p2_found, p2_survivors)
+    found = (p1_found, p1_records, p2_found, p2_survivors, p10_found, p10_levels, p10_profile)
     return {f.__name__: f for f in found}
 
 

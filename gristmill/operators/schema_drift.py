@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.session import cut_lineage
+
 #: Alias table: canonical field -> headers of the providers, written as their letters and digits only (fixed values).
 ALIASES = {
     "trade_name": ["societe", "nomentreprise", "name", "nomcommercial", "enseigne", "entreprise"],
@@ -157,7 +159,7 @@ def changes(columns: DataFrame) -> DataFrame:
 
 def change_report(rows: DataFrame, files: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
     """``changes`` under the later file's id."""
-    columns = catalogue(rows, files, aliases)
+    columns = cut_lineage(catalogue(rows, files, aliases))  # a few rows a file, used four times
     order = Window.partitionBy("provider").orderBy(F.col("received_at").asc_nulls_first(), "source_file_id")
     placed = files.select("source_file_id", "provider", "received_at").dropDuplicates(["source_file_id"]).withColumn("ordinal", F.row_number().over(order))
     return changes(columns).join(placed, ["provider", "ordinal"]).select("source_file_id", "change_kind", "old_name", "new_name")

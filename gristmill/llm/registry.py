@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import contact
-from gristmill.llm import format_duplicates, reading_level, representative
+from gristmill.llm import format_duplicates, mixing, packing, reading_level, representative
+from gristmill.llm.tokens import token_counts
 from gristmill.sources.tables import table
 
 #: Tables whose records repeat: id, columns that don't count, addresses, pairs that may change places.
@@ -68,6 +69,26 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return representative.merged(rows, "siret", "export_no", fields, rest)
 
 
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document packed into containers of every capacity (problem 8)."""
+    return packing.pack_documents(token_counts(table(spark, folder, "documents")), table(spark, folder, "pack_sizes"))
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers, used and unused space of each set."""
+    return packing.container_report(p8_containers(spark, folder))
+
+
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents chosen, with their repeats, so that every source gives its target share (problem 9)."""
+    return mixing.mix(token_counts(table(spark, folder, "documents"), keep=("source",)), table(spark, folder, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares reached beside their targets."""
+    return mixing.shares(p9_mixture(spark, folder), table(spark, folder, "mix_targets"))
+
+
 def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
     """Score and reading level of every document."""
     documents = table(spark, folder, "documents")
@@ -86,7 +107,7 @@ def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_records, p2_found, p2_survivors, p10_found, p10_levels, p10_profile)
+    found = (p1_found, p1_records, p2_found, p2_survivors, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
     return {f.__name__: f for f in found}
 
 

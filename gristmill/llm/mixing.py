@@ -21,35 +21,41 @@ from gristmill.session import cut_lineage
 EPS = 1e-9
 
 
+def _move(x: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """One step along ``u``, either way, as far as the first fraction that becomes 0 or 1; expectations are kept."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up = np.min(np.where(u > 0, (1 - x) / u, np.where(u < 0, -x / u, np.inf)))
+        down = np.min(np.where(u > 0, x / u, np.where(u < 0, (x - 1) / u, np.inf)))
+    x = np.clip(x + (up if rng.random() * (up + down) < down else -down) * u, 0, 1)
+    x[x < EPS], x[x > 1 - EPS] = 0, 1
+    return x
+
+
 def flight(fractions: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
-    """Fractions after the flight: all but at most two are 0 or 1.
+    """Fractions after the flight: all but at most two are 0 or 1, and sum(fraction * size) is what it was.
 
-    Three documents move at a time along the direction that keeps both sum(fraction) and sum(fraction * size); which
-    way, and how far, is drawn so that each fraction keeps its expectation.
+    Documents above the median size move in pairs of neighbouring sizes along the null space of the token constraint,
+    longest first, so that no long one is left for the landing; the rest move three at a time along the null space of
+    both constraints, tokens and documents. Which way a step goes is drawn so that each fraction keeps its expectation.
     """
     rng = np.random.default_rng(seed)
     p = fractions.astype(float).copy()
-    order = np.lexsort((rng.random(len(p)), -size))  # long documents settle first, so short ones are left to land
-    active = [int(k) for k in order if EPS < p[k] < 1 - EPS]
-    trio, rest = active[:3], active[3:]
-    at = 0
-    while len(trio) == 3:
-        a, b, c = size[trio]
-        u = np.array([b - c, c - a, a - b], dtype=float)
-        if not u.any():
-            u = np.array([1.0, -1.0, 0.0])
-        x = p[trio]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            up = np.min(np.where(u > 0, (1 - x) / u, np.where(u < 0, -x / u, np.inf)))
-            down = np.min(np.where(u > 0, x / u, np.where(u < 0, (x - 1) / u, np.inf)))
-        move = up if rng.random() * (up + down) < down else -down
-        x = np.clip(x + move * u, 0, 1)
-        x[x < EPS], x[x > 1 - EPS] = 0, 1
-        p[trio] = x
-        trio = [k for k, v in zip(trio, x) if 0 < v < 1]
-        while len(trio) < 3 and at < len(rest):
-            trio.append(rest[at])
-            at += 1
+    order = np.lexsort((rng.random(len(p)), -size))
+    todo = [int(k) for k in order if EPS < p[k] < 1 - EPS]
+    middle = size[todo[len(todo) // 2]] if todo else 0
+    together: list[int] = []
+    for k in todo:
+        together.append(k)
+        if size[k] > middle and len(together) == 2:
+            u = np.array([size[together[1]], -size[together[0]]], dtype=float)
+        elif len(together) == 3:
+            a, b, c = size[together]
+            u = np.array([b - c, c - a, a - b], dtype=float)
+            u = u if u.any() else np.array([1.0, -1.0, 0.0])
+        else:
+            continue
+        p[together] = _move(p[together], u / np.abs(u).max(), rng)
+        together = [j for j in together if 0 < p[j] < 1]
     return p
 
 

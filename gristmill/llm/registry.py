@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import contact
-from gristmill.llm import format_duplicates, mixing, packing, reading_level, representative
+from gristmill.llm import format_duplicates, mixing, packing, reading_level, representative, same_address
 from gristmill.llm.tokens import token_counts
 from gristmill.sources.tables import table
 
@@ -69,6 +69,17 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return representative.merged(rows, "siret", "export_no", fields, rest)
 
 
+def p7_locations(spark: SparkSession, folder: str) -> DataFrame:
+    """The location of each establishment; equal numbers are one place."""
+    return same_address.locations(table(spark, folder, "population"), "siret", "adresse", "codePostal", "ville").select(F.col("key").alias("siret"), "location")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each pair of establishments at one location (problem 7)."""
+    located = p7_locations(spark, folder).withColumnRenamed("siret", "key")
+    return same_address.pairs_at_one_place(located).select(F.col("key").alias("siret_a"), F.col("other").alias("siret_b"))
+
+
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into containers of every capacity (problem 8)."""
     return packing.pack_documents(token_counts(table(spark, folder, "documents")), table(spark, folder, "pack_sizes"))
@@ -107,7 +118,7 @@ def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_records, p2_found, p2_survivors, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
+    found = (p1_found, p1_records, p2_found, p2_survivors, p7_found, p7_locations, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
     return {f.__name__: f for f in found}
 
 

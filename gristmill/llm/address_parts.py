@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-import unicodedata
+from functools import lru_cache
 from typing import NamedTuple
 
 #: Kinds of way and how they are written (fixed values).
@@ -58,22 +58,26 @@ class Address(NamedTuple):
     commune: str
 
 
+#: Upper-case letters with an accent and what they are without (fixed values).
+_ACCENTED = "ÀÂÄÁÃÅÇÉÈÊËÎÏÍÌÑÔÖÓÒÕÛÜÚÙŸÝ"
+_FLAT = str.maketrans(dict(zip(_ACCENTED, "AAAAAACEEEEIIIINOOOOOUUUUYY")) | {"Œ": "OE", "Æ": "AE", "\u00a0": " ", "’": "'"} | {chr(k): None for k in range(0x300, 0x370)})
+
+
 def upper(text: str | None) -> str:
-    """Upper case without accents; ligatures as two letters."""
+    """Upper case without accents, composed or not; ligatures as two letters."""
     if not text:
         return ""
-    if not text.isascii():
-        text = text.replace("œ", "oe").replace("Œ", "OE").replace(" ", " ").replace("’", "'")
-        text = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
-    return text.upper()
+    return text.upper() if text.isascii() else text.upper().translate(_FLAT)
 
 
+@lru_cache(maxsize=100_000)
 def postcode_of(text: str | None) -> str:
     """Five digits; four are padded, a trailing ``.0`` and blanks go; anything else is ''."""
-    digits = re.sub(r"\.0+$", "", (text or "").strip()).replace(" ", "").replace(" ", "")
-    return digits.zfill(5) if digits.isdigit() and len(digits) in (4, 5) else ""
+    digits = re.sub(r"\.0+$", "", (text or "").strip()).replace(" ", "").replace("\u00a0", "")
+    return digits.zfill(5) if digits.isascii() and digits.isdigit() and len(digits) in (4, 5) else ""
 
 
+@lru_cache(maxsize=100_000)
 def commune_of(text: str | None) -> str:
     """Name of a commune without CEDEX, its short words written out, blanks between words."""
     words = re.sub(r"[^A-Z0-9]+", " ", re.sub(r"\bS/", "SUR ", upper(text))).split()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import contact
-from gristmill.llm import format_duplicates, mixing, packing, reading_level, representative, same_address
+from gristmill.llm import entity_match, format_duplicates, mixing, packing, reading_level, representative, same_address
 from gristmill.llm.tokens import token_counts
 from gristmill.sources.tables import table
 
@@ -69,6 +69,21 @@ def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return representative.merged(rows, "siret", "export_no", fields, rest)
 
 
+def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The establishment of each listing with a confidence."""
+    listings = entity_match.features(table(spark, folder, "listings"), "listing_no", ["name", "alt_name"], "address", "postcode", "city", "lat", "lon", "siret")
+    names = ["raisonSociale", "enseigne", "denomination_legale", "gerant"]
+    newest = F.max_by(F.struct("*"), F.struct("loaded_at", F.to_json(F.struct(*names, "adresse"))))
+    places = table(spark, folder, "population").groupBy("siret").agg(newest.alias("x")).select("x.*")
+    registry = entity_match.features(places, "siret", names, "adresse", "codePostal", "ville", "lat", "lon", "siret").withColumn("siret", F.col("rid"))
+    return entity_match.match(listings, registry).select(F.col("rid").cast("bigint").alias("listing_no"), "siret", "confidence")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each listing with the establishment it describes (problem 6)."""
+    return p6_matches(spark, folder).select("listing_no", "siret")
+
+
 def p7_locations(spark: SparkSession, folder: str) -> DataFrame:
     """The location of each establishment; equal numbers are one place."""
     return same_address.locations(table(spark, folder, "population"), "siret", "adresse", "codePostal", "ville").select(F.col("key").alias("siret"), "location")
@@ -118,7 +133,7 @@ def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_records, p2_found, p2_survivors, p7_found, p7_locations, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
+    found = (p1_found, p1_records, p2_found, p2_survivors, p6_found, p6_matches, p7_found, p7_locations, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
     return {f.__name__: f for f in found}
 
 

@@ -13,12 +13,12 @@ PREMIUM = r"^08[129]"
 
 def trimmed(c: Column) -> Column:
     """Outer white space off, no-break spaces included."""
-    return F.regexp_replace(c, r"^[\s ]+|[\s ]+$", "")
+    return F.regexp_replace(c, r"^[\s\xa0]+|[\s\xa0]+$", "")
 
 
 def clean_text(c: Column) -> Column:
     """No-break spaces as blanks, trimmed, sentinels as NULL."""
-    value = F.trim(F.regexp_replace(c, " ", " "))
+    value = F.trim(F.regexp_replace(c, r"\xa0", " "))
     return F.when(~F.lower(value).isin(*SENTINELS), value)
 
 
@@ -138,7 +138,7 @@ def usable_website(c: Column) -> Column:
 
 def usable_email(c: Column) -> Column:
     """Whether the trimmed text has one @, a name, a dotted domain and no blank."""
-    return F.coalesce(trimmed(c).rlike(r"^[^@\s ]+@[^@\s .]+(\.[^@\s .]+)+$"), F.lit(False))
+    return F.coalesce(trimmed(c).rlike(r"^[^@\s\xa0]+@[^@\s\xa0.]+(\.[^@\s\xa0.]+)+$"), F.lit(False))
 
 
 def source_label(c: Column) -> Column:

@@ -15,8 +15,7 @@ LON_RANGE = (-5.5, 10.0)
 
 def coordinate(text: Column) -> Column:
     """A coordinate from text: blanks off, a decimal comma as a point; anything else, 'nan' too, is NULL."""
-    value = F.expr("try_cast(NULL AS double)") if text is None else F.regexp_replace(text, r"[\s ]+", "")
-    value = F.regexp_replace(value, ",", ".").try_cast("double")
+    value = F.regexp_replace(F.regexp_replace(text, r"[\s\xa0]+", ""), ",", ".").try_cast("double")
     return F.when(F.isnan(value), None).otherwise(value)
 
 

@@ -32,7 +32,7 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
     if not path_exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=True, escape='"', encoding="UTF-8")
-    raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
+    raw = raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
     return raw.select(*[F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 

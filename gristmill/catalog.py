@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import geo
 from gristmill.operators import schema_drift, spatial, split_values
+from gristmill.plans import registry, scalars, views  # noqa: F401  (they register themselves)
 from gristmill.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +54,8 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (p3_found, p3_catalogue, p3_consolidated, p4_found, p4_all_values, p5_found)
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | registry.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.ORACLES)

@@ -58,7 +58,7 @@ def clean_naf(c: Column) -> Column:
 
 def luhn_ok(c: Column) -> Column:
     """Whether the digits pass the Luhn check; NULL for what isn't all digits."""
-    return F.when(c.rlike("^[0-9]+$"), F.luhn_check(c))
+    return F.when(c.rlike("^[0-9]+$"), F.call_function("luhn_check", c))
 
 
 def normalize_status(c: Column) -> Column:

@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from gristmill.functions.text import norm, unaccent
@@ -65,7 +66,7 @@ def shares_evidence(a: Column, b: Column) -> Column:
     return F.coalesce(inside(x, y) | inside(y, x), F.lit(False))
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching blocks of two texts; no built-in has it."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])

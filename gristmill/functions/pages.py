@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import norm, unaccent
+from gristmill.functions.text import let, norm, unaccent
 
 #: What parked domains say (fixed values).
 PARKED = [
@@ -56,9 +56,12 @@ def breadth(c: Column, pattern: str) -> Column:
 
 def directory_reason(c: Column, most_postcodes: int = 8, most_sirets: int = 3) -> Column:
     """Why a text looks like a directory ('' where it doesn't): many postcodes, many identifiers, or phrases with breadth."""
-    postcodes, sirets = breadth(c, r"\b(?:0[1-9]|[1-8]\d|9[0-8])\d{3}\b"), breadth(c, r"\b\d{14}\b")
-    text = flat(c)
-    phrases = sum((text.contains(p).cast("int") for p in DIRECTORY), F.lit(0))
+    phrases_in = lambda t: sum((t.contains(p).cast("int") for p in DIRECTORY), F.lit(0))
+    facts = F.struct(breadth(c, r"\b(?:0[1-9]|[1-8]\d|9[0-8])\d{3}\b").alias("p"), breadth(c, r"\b\d{14}\b").alias("s"), let(flat(c), phrases_in).alias("n"))
+    return let(facts, lambda x: _directory(x["p"], x["s"], x["n"], most_postcodes, most_sirets))
+
+
+def _directory(postcodes: Column, sirets: Column, phrases: Column, most_postcodes: int, most_sirets: int) -> Column:
     return F.when(postcodes >= most_postcodes, F.concat(F.lit("cp_breadth:"), postcodes)).when(sirets >= most_sirets, F.concat(F.lit("siret_breadth:"), sirets)).when(
         (phrases >= 2) & (postcodes >= 3), F.concat(F.lit("phrases:"), phrases, F.lit("+breadth"))).otherwise(F.lit(""))
 
@@ -67,7 +70,7 @@ def ownership(text: Column, siret: Column, postcode: Column, name: Column) -> Co
     """Strongest proof that a page is of a business: siret, siren, cp+nom, cp or none."""
     digits = F.regexp_replace(text, r"[\s.\-()+]", "")
     cp = F.coalesce((F.length(postcode) == 5) & digits.contains(postcode), F.lit(False))
-    named = F.coalesce(F.exists(F.split(norm(name), " "), lambda t: (F.length(t) >= 4) & norm(text).contains(t)), F.lit(False))
+    named = F.coalesce(let(norm(text), lambda n: F.exists(F.split(norm(name), " "), lambda t: (F.length(t) >= 4) & n.contains(t))), F.lit(False))
     return F.when((F.length(siret) == 14) & digits.contains(siret), "siret").when((F.length(siret) == 14) & digits.contains(F.substring(siret, 1, 9)), "siren").when(cp & named, "cp+nom").when(cp, "cp").otherwise("none")
 
 
@@ -76,7 +79,10 @@ def site_verdict(text: Column, own: Column, shared: Column, score: Column, least
 
     Unreached, parked, directory, owned by identifier, too short to judge, shared domain, owned by name, off topic.
     """
-    reason = directory_reason(text)
+    return let(F.struct(directory_reason(text).alias("why"), own.alias("own")), lambda x: _verdict(text, x["own"], shared, score, x["why"], least_chars))
+
+
+def _verdict(text: Column, own: Column, shared: Column, score: Column, reason: Column, least_chars: int) -> Column:
     out = lambda verdict, why: F.struct(F.lit(verdict).alias("verdict"), (why if isinstance(why, Column) else F.lit(why)).alias("reason"))
     return (
         F.when(text.isNull(), out("mort", "unreachable"))

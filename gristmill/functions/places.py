@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gristmill.functions.contact import clean_postal_code
+from gristmill.functions.text import let, norm
 
 LEAD_JUNK = r"^[\s\-–,;.]+|[\s\-,;.]+$"
 
@@ -27,27 +28,37 @@ def repair_town(postcode: Column, town: Column) -> Column:
     in brackets behind the town, welded to it or standing in it is taken out (and used where the cell has none), so is
     a phone number behind it and a second copy of the town. A cell is never emptied.
     """
-    code, name = F.trim(F.coalesce(postcode, F.lit(""))), F.trim(F.coalesce(town, F.lit("")))
-    shifted = r"^.*\S\s+[-–]\s*(\d{5})([A-Za-zÀ-ÿ].*)$"
-    is_shift = name.rlike(shifted)
-    fine = code.rlike(r"^\d{5}$")
+    return let(F.struct(F.trim(F.coalesce(postcode, F.lit(""))).alias("code"), F.trim(F.coalesce(town, F.lit(""))).alias("name")), _repaired)
+
+
+SHIFTED = r"^.*\S\s+[-–]\s*(\d{5})([A-Za-zÀ-ÿ].*)$"
+WELDED = r"^.*?(\d{5})\s*([A-Za-zÀ-ÿ].*)$"
+LONE = r"(?<!\d)(\d{5})(?!\d)"
+TWICE = r"^(.+?)\s+\d{5}\s+(.+)$"
+PHONE_BEHIND = r"(?i)(\bt[eé]l\b|\bt\b)?\s*0[\d\s./-]{8,}\d\s*$"
+
+
+def _repaired(cells: Column) -> Column:
+    code, name = cells["code"], cells["name"]
+    fine, is_shift = code.rlike(r"^\d{5}$"), name.rlike(SHIFTED)
     bracket = F.regexp_extract(name, r"\((\d{5})\)\s*$", 1)
-    step1 = F.regexp_replace(name, r"\s*\(\d{5}\)\s*$", "")
-    glued = r"^.*?(\d{5})\s*([A-Za-zÀ-ÿ].*)$"
-    is_glued = ~fine & step1.rlike(glued)
-    loose = F.regexp_extract(step1, r"(?<!\d)(\d{5})(?!\d)", 1)
-    found = F.when(fine, code).when(is_glued, F.regexp_extract(step1, glued, 1)).when(loose != "", loose).when(bracket != "", bracket)
-    step2 = F.when(is_glued, F.regexp_extract(step1, glued, 2)).when(~fine & (loose != ""), F.regexp_replace(step1, r"(?<!\d)\d{5}(?!\d)", " ")).otherwise(step1)
-    step3 = F.when(F.startswith(F.ltrim(step2), found), F.substr(F.ltrim(step2), F.lit(6))).otherwise(step2)
-    step4 = F.regexp_replace(step3, r"(?i)(\bt[eé]l\b|\bt\b)?\s*0[\d\s./-]{8,}\d\s*$", "")
-    step5 = tidy(F.when(F.trim(step4) != "", step4).otherwise(step3))
-    twice = r"^(.+?)\s+\d{5}\s+(.+)$"
-    again = step5.rlike(twice) & (F.lower(F.regexp_extract(step5, twice, 1)) == F.lower(F.regexp_extract(step5, twice, 2)))
-    step6 = tidy(F.when(again, F.regexp_extract(step5, twice, 1)).otherwise(step5))
-    new_code = F.when(is_shift, F.regexp_extract(name, shifted, 1)).otherwise(found)
-    new_town = F.when(is_shift, tidy(F.regexp_extract(name, shifted, 2))).when(step6 != "", step6).otherwise(name)
-    changed = (F.coalesce(new_code, F.lit("")) != code) | (new_town != name)
-    return F.struct(new_code.alias("postcode"), new_town.alias("town"), changed.alias("changed"))
+
+    def placed(bare: Column) -> Column:
+        """STRUCT(code, town): the postcode found and the town without it."""
+        welded, loose = ~fine & bare.rlike(WELDED), ~fine & bare.rlike(LONE)
+        found = F.when(fine, code).when(welded, F.regexp_extract(bare, WELDED, 1)).when(loose, F.regexp_extract(bare, LONE, 1)).when(bracket != "", bracket)
+        town = F.when(welded, F.regexp_extract(bare, WELDED, 2)).when(loose, F.regexp_replace(bare, LONE, " ")).otherwise(bare)
+        return F.struct(found.alias("code"), F.ltrim(town).alias("town"))
+
+    def cleaned(x: Column) -> Column:
+        own = F.when(F.startswith(x["town"], x["code"]), F.substr(x["town"], F.lit(6))).otherwise(x["town"])
+        short = let(own, lambda t: let(F.regexp_replace(t, PHONE_BEHIND, ""), lambda u: tidy(F.when(F.trim(u) != "", u).otherwise(t))))
+        once = let(short, lambda t: tidy(F.when(t.rlike(TWICE) & (F.lower(F.regexp_extract(t, TWICE, 1)) == F.lower(F.regexp_extract(t, TWICE, 2))), F.regexp_extract(t, TWICE, 1)).otherwise(t)))
+        return let(once, lambda t: F.struct(x["code"].alias("postcode"), F.when(t != "", t).otherwise(name).alias("town")))
+
+    moved = F.struct(F.regexp_extract(name, SHIFTED, 1).alias("postcode"), tidy(F.regexp_extract(name, SHIFTED, 2)).alias("town"))
+    settled = F.when(is_shift, moved).otherwise(let(let(F.regexp_replace(name, r"\s*\(\d{5}\)\s*$", ""), placed), cleaned))
+    return let(settled, lambda x: F.struct(x["postcode"].alias("postcode"), x["town"].alias("town"), ((F.coalesce(x["postcode"], F.lit("")) != code) | (x["town"] != name)).alias("changed")))
 
 
 def strip_postcode_town(c: Column) -> Column:
@@ -66,8 +77,6 @@ WAY_WORDS = {"AV": "AVENUE", "AVE": "AVENUE", "BD": "BOULEVARD", "BLD": "BOULEVA
 
 def address_parts(c: Column) -> Column:
     """STRUCT(house, words): the first number, and the street's words with abbreviations written out, as a sorted set."""
-    from gristmill.functions.text import norm
-
     bare = norm(F.regexp_replace(c, r"[\s,;-]+\d{5}\b.*$", ""))
     table = F.create_map(*[F.lit(x) for pair in WAY_WORDS.items() for x in pair])
     words = F.transform(F.split(bare, " "), lambda w: F.coalesce(F.element_at(table, w), w))

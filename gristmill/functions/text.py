@@ -10,6 +10,11 @@ ACCENTED = "ÀÂÄÁÃÅÇÉÈÊËÎÏÍÌÑÔÖÓÒÕÛÜÚÙŸÝàâäáãåç
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYYaaaaaaceeeeiiiinooooouuuuyy"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unaccent(c: Column) -> Column:
     """Letters without accents, composed or decomposed; ligatures as two letters."""
     plain = F.translate(F.regexp_replace(c, r"\p{M}+", ""), ACCENTED, PLAIN)

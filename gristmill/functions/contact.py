@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.text import let
+
 #: Texts that mean "no value" in spreadsheets (fixed values).
 SENTINELS = ("", "nan", "none", "null")
 #: Premium-rate prefixes (fixed values).
@@ -18,8 +20,7 @@ def trimmed(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """No-break spaces as blanks, trimmed, sentinels as NULL."""
-    value = F.trim(F.regexp_replace(c, r"\xa0", " "))
-    return F.when(~F.lower(value).isin(*SENTINELS), value)
+    return let(F.trim(F.regexp_replace(c, r"\xa0", " ")), lambda x: F.when(~F.lower(x).isin(*SENTINELS), x))
 
 
 def strip_float(c: Column) -> Column:
@@ -27,16 +28,18 @@ def strip_float(c: Column) -> Column:
     return F.regexp_replace(clean_text(c), r"\.0+$", "")
 
 
+def _bare(c: Column) -> Column:
+    return F.regexp_replace(strip_float(c), r"[\s.\-]", "")
+
+
 def clean_siret(c: Column) -> Column:
     """Exactly 14 digits once blanks, dots and hyphens are gone, not all zero; never padded."""
-    digits = F.regexp_replace(strip_float(c), r"[\s.\-]", "")
-    return F.when(digits.rlike("^[0-9]{14}$") & (digits != "0" * 14), digits)
+    return let(_bare(c), lambda x: F.when(x.rlike("^[0-9]{14}$") & (x != "0" * 14), x))
 
 
 def clean_siren(c: Column) -> Column:
     """Exactly 9 digits, else NULL."""
-    digits = F.regexp_replace(strip_float(c), r"[\s.\-]", "")
-    return F.when(digits.rlike("^[0-9]{9}$") & (digits != "0" * 9), digits)
+    return let(_bare(c), lambda x: F.when(x.rlike("^[0-9]{9}$") & (x != "0" * 9), x))
 
 
 def siret_to_siren(c: Column) -> Column:
@@ -46,8 +49,7 @@ def siret_to_siren(c: Column) -> Column:
 
 def truncated_identifier(c: Column) -> Column:
     """8, 12 or 13 digits kept as they are for later recovery."""
-    digits = F.regexp_replace(strip_float(c), r"[\s.\-]", "")
-    return F.when(digits.rlike("^([0-9]{8}|[0-9]{12}|[0-9]{13})$"), digits)
+    return let(_bare(c), lambda x: F.when(x.rlike("^([0-9]{8}|[0-9]{12}|[0-9]{13})$"), x))
 
 
 def clean_naf(c: Column) -> Column:
@@ -71,8 +73,7 @@ def normalize_status(c: Column) -> Column:
 def clean_postal_code(c: Column) -> Column:
     """Five digits: blanks and dots off, cut at five, four padded; else NULL."""
     code = F.substring(F.regexp_replace(strip_float(c), r"[\s.]", ""), 1, 5)
-    code = F.when(code.rlike("^[0-9]{4}$"), F.lpad(code, 5, "0")).otherwise(code)
-    return F.when(code.rlike("^[0-9]{5}$"), code)
+    return let(code, lambda x: F.when(x.rlike("^[0-9]{4}$"), F.lpad(x, 5, "0")).when(x.rlike("^[0-9]{5}$"), x))
 
 
 def clean_department(c: Column) -> Column:
@@ -85,9 +86,7 @@ def clean_department(c: Column) -> Column:
 def national_digits(c: Column) -> Column:
     """Ten national digits, 0 and then 1-9, of a phone number in any notation; else NULL."""
     digits = F.regexp_replace(F.regexp_replace(c, r"\(0\)", ""), "[^0-9]", "")
-    digits = F.when(digits.rlike("^0033[0-9]{9}$"), F.concat(F.lit("0"), F.substring(digits, 5, 9))).when(
-        digits.rlike("^33[0-9]{9}$"), F.concat(F.lit("0"), F.substring(digits, 3, 9))).otherwise(digits)
-    return F.when(digits.rlike("^0[1-9][0-9]{8}$"), digits)
+    return let(F.regexp_replace(digits, "^(0033|33)(?=[0-9]{9}$)", "0"), lambda x: F.when(x.rlike("^0[1-9][0-9]{8}$"), x))
 
 
 def spaced_phone(digits: Column) -> Column:

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.text import let
+
 EARTH_RADIUS_M = 6_371_000.0
 
 #: Bounds within which a point is taken as one of the country (fixed values).
@@ -16,7 +18,7 @@ LON_RANGE = (-5.5, 10.0)
 def coordinate(text: Column) -> Column:
     """A coordinate from text: blanks off, a decimal comma as a point; anything else, 'nan' too, is NULL."""
     value = F.regexp_replace(F.regexp_replace(text, r"[\s\xa0]+", ""), ",", ".").try_cast("double")
-    return F.when(F.isnan(value), None).otherwise(value)
+    return let(value, lambda x: F.when(~F.isnan(x), x))
 
 
 def located(lat: Column, lon: Column) -> Column:
@@ -24,7 +26,10 @@ def located(lat: Column, lon: Column) -> Column:
 
     A pair standing in each other's fields is turned the right way round.
     """
-    a, b = coordinate(lat), coordinate(lon)
+    return let(F.struct(coordinate(lat).alias("a"), coordinate(lon).alias("b")), lambda p: _placed(p["a"], p["b"]))
+
+
+def _placed(a: Column, b: Column) -> Column:
     right = a.between(*LAT_RANGE) & b.between(*LON_RANGE)
     turned = b.between(*LAT_RANGE) & a.between(*LON_RANGE)
     return F.when(right, F.struct(a.alias("lat"), b.alias("lon"))).when(turned, F.struct(b.alias("lat"), a.alias("lon")))

@@ -13,8 +13,8 @@ LEAD_JUNK = r"^[\s\-–,;.]+|[\s\-,;.]+$"
 
 def department(postcode: Column) -> Column:
     """Department of a postcode: overseas by three digits, Corsica 2A below 202, 2B from there, else two digits."""
-    code = clean_postal_code(postcode)
-    return F.when(code.rlike("^9[78]"), F.substring(code, 1, 3)).when(code.rlike("^20[01]"), F.lit("2A")).when(code.rlike("^20"), F.lit("2B")).otherwise(F.substring(code, 1, 2))
+    named = lambda x: F.when(x.rlike("^9[78]"), F.substring(x, 1, 3)).when(x.rlike("^20[01]"), F.lit("2A")).when(x.rlike("^20"), F.lit("2B")).otherwise(F.substring(x, 1, 2))
+    return let(clean_postal_code(postcode), named)
 
 
 def tidy(c: Column) -> Column:
@@ -77,7 +77,10 @@ WAY_WORDS = {"AV": "AVENUE", "AVE": "AVENUE", "BD": "BOULEVARD", "BLD": "BOULEVA
 
 def address_parts(c: Column) -> Column:
     """STRUCT(house, words): the first number, and the street's words with abbreviations written out, as a sorted set."""
-    bare = norm(F.regexp_replace(c, r"[\s,;-]+\d{5}\b.*$", ""))
+    return let(norm(F.regexp_replace(c, r"[\s,;-]+\d{5}\b.*$", "")), _parts)
+
+
+def _parts(bare: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in WAY_WORDS.items() for x in pair])
     words = F.transform(F.split(bare, " "), lambda w: F.coalesce(F.element_at(table, w), w))
     kept = F.filter(words, lambda w: ~w.rlike(r"^(\d+(BIS|TER|B|T)?|BIS|TER|N|NO|[A-Z])?$") & ~w.isin("DE", "DU", "DES", "LA", "LE", "LES"))

@@ -23,6 +23,8 @@ NAME_LEAST, GEO_M, GEO_ALONE_M, STREET_LEAST = 0.62, 150.0, 40.0, 0.6
 def listing_side(df: DataFrame) -> DataFrame:
     """Listings in the shape the rungs take: id l, name and address words, postcode, point, identifier."""
     point, parts = geo.located(F.col("lat"), F.col("lon")), places.address_parts(F.coalesce("address", F.lit("")))
+    df = df.select("*", point.alias("_at"), parts.alias("_parts"))
+    point, parts = F.col("_at"), F.col("_parts")
     return df.select(F.col("listing_no").alias("l"), F.array_distinct(names.tokens(F.coalesce("name", F.lit("")))).alias("l_words"), contact.clean_siret(F.col("siret")).alias("l_siret"),
                      contact.clean_postal_code(F.col("postcode")).alias("cp"), parts["house"].alias("house"), parts["words"].alias("l_street"), point["lat"].alias("lat"), point["lon"].alias("lon"))
 
@@ -31,6 +33,8 @@ def registry_side(df: DataFrame) -> DataFrame:
     """Establishments likewise: id p; several rows of one siret count as its first by name and address."""
     first = df.groupBy("siret").agg(F.min(F.struct("raisonSociale", "adresse", "codePostal", "lat", "lon")).alias("x")).select("siret", "x.*")
     point, parts = geo.located(F.col("lat"), F.col("lon")), places.address_parts(F.coalesce("adresse", F.lit("")))
+    first = first.select("*", point.alias("_at"), parts.alias("_parts"))
+    point, parts = F.col("_at"), F.col("_parts")
     return first.select(F.col("siret").alias("p"), F.array_distinct(names.tokens(F.coalesce("raisonSociale", F.lit("")))).alias("p_words"),
                         contact.clean_postal_code(F.col("codePostal")).alias("cp"), parts["house"].alias("house"), parts["words"].alias("p_street"), point["lat"].alias("lat"), point["lon"].alias("lon"))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +32,40 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where that setting is absent (tests, a laptop) a temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not hasattr(spark.sparkContext, "_gristmill_folder"):
+        spark.sparkContext._gristmill_folder = tempfile.mkdtemp(prefix="gristmill-")
+    return spark.sparkContext._gristmill_folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there.
+    """Write ``df`` as a table in the shared folder and read it back from there.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that setting is absent (tests, a laptop)
-    is a temporary folder made for it. A lost executor costs nothing: the files outlive it.
+    A lost executor costs nothing: the files outlive it. Columnar files are smaller than a checkpoint's rows, and later
+    reads take only the columns they need. The session's tables are removed when the driver ends.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gristmill-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark).rstrip('/')}/gristmill-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append(path)
+    if len(_written) == 1:
+        atexit.register(_remove_written)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def _remove_written() -> None:
+    spark = SparkSession.getActiveSession()
+    try:
+        for path in _written:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the JVM may be gone already
+        for path in _written:
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)

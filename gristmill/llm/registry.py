@@ -75,8 +75,8 @@ def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
     names = ["raisonSociale", "enseigne", "denomination_legale", "gerant"]
     newest = F.max_by(F.struct("*"), F.struct("loaded_at", F.to_json(F.struct(*names, "adresse"))))
     places = table(spark, folder, "population").groupBy("siret").agg(newest.alias("x")).select("x.*")
-    registry = entity_match.features(places, "siret", names, "adresse", "codePostal", "ville", "lat", "lon", "siret").withColumn("siret", F.col("rid"))
-    return entity_match.match(listings, registry).select(F.col("rid").cast("bigint").alias("listing_no"), "siret", "confidence")
+    registry = entity_match.features(places, "siret", names, "adresse", "codePostal", "ville", "lat", "lon", "siret")
+    return entity_match.match(listings, registry).select(F.col("rid").alias("listing_no"), F.lpad(F.col("found").cast("string"), 14, "0").alias("siret"), "confidence")
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

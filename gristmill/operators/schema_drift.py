@@ -90,7 +90,8 @@ def explode_footers(rows: DataFrame, file_key: str = "source_file_id", body: str
                     for header, value in row.items():
                         k = (file_id, header, _json_type(value))
                         seen[k] = seen.get(k, 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["source_file_id", "header", "json_type", "n"])
+            if seen:
+                yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["source_file_id", "header", "json_type", "n"])
 
     lean = rows.filter(F.col(file_key).isNotNull()).select(F.col(file_key).cast("bigint").alias("f"), F.col(body).alias("j"))
     return lean.mapInPandas(count, CATALOGUE).groupBy("source_file_id", "header", "json_type").agg(F.sum("n").alias("n"))
@@ -213,7 +214,8 @@ def consolidate(rows: DataFrame, aliases: dict[str, list[str]] | None = None) ->
                     elif value:
                         rest[header] = value
                 out.append((raw_id, file_id, index, *[got.get(f) for f in fields], json.dumps(rest, ensure_ascii=False) if rest else None))
-            yield pd.DataFrame(out, columns=["raw_id", "source_file_id", "row_index", *fields, "rest"])
+            if out:
+                yield pd.DataFrame(out, columns=["raw_id", "source_file_id", "row_index", *fields, "rest"])
 
     lean = rows.select(F.col("raw_id").cast("bigint"), F.col("source_file_id").cast("bigint"), F.col("row_index").cast("int"), "raw_json")
     return lean.mapInPandas(widen, "raw_id bigint, source_file_id bigint, row_index int, " + ", ".join(f"{f} string" for f in fields) + ", rest string")

@@ -162,7 +162,8 @@ def split_fields(df: DataFrame, key: str, fields: dict[str, bool], least: int =
                     for pos, (item, kind, error) in enumerate(values, 1):
                         for column, value in zip(out, (key_value, name, pos, item, kind, error)):
                             out[column].append(value)
-            yield pd.DataFrame(out)
+            if out["key"]:
+                yield pd.DataFrame(out)
 
     kind = df.schema[key].dataType.simpleString()
     lean = df.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{n}`").cast("string").alias(n) for n in names])

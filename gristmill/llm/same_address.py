@@ -30,6 +30,8 @@ def parsed(df: DataFrame, key: str, address: str, postcode: str, commune: str) -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            if not len(b):
+                continue
             rows = [parse(a, p, c) for a, p, c in zip(b["a"], b["p"], b["c"])]
             out = pd.DataFrame(rows, columns=PARTS)
             yield out.assign(key=b["key"].to_numpy(), sounds=[sounds(n) for n in out["name"]])[["key", *PARTS, "sounds"]]

@@ -53,10 +53,26 @@ def header_key(header: Column) -> Column:
     return F.regexp_replace(F.translate(F.lower(header), ACCENTED, PLAIN), "[^a-z0-9]", "")
 
 
-def alias_frame(spark, aliases: dict[str, list[str]] | None = None) -> DataFrame:
-    """The alias table as (alias, field); its size is that of the dictionary."""
-    rows = [(alias, field) for field, names in (aliases or ALIASES).items() for alias in names]
-    return spark.createDataFrame(rows, "alias string, field string")
+def _stems(aliases: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """(alias, field) of at least four letters, longest first: what a header that is no alias itself may contain."""
+    return sorted(((a, f) for f, names in aliases.items() for a in names if len(a) >= 4), key=lambda x: (-len(x[0]), x[0]))
+
+
+def field_of(key: str, aliases: dict[str, list[str]] | None = None) -> str:
+    """Canonical field of a header key: its alias, else that of the longest alias it contains, else the key itself."""
+    table = aliases or ALIASES
+    known = {alias: field for field, names in table.items() for alias in names}
+    return known.get(key) or next((field for alias, field in _stems(table) if alias in key), key)
+
+
+def field_column(key: Column, aliases: dict[str, list[str]] | None = None) -> Column:
+    """``field_of`` as a Column; for tables of headers, which are few."""
+    table = aliases or ALIASES
+    exact = F.create_map(*[F.lit(x) for field, names in table.items() for alias in names for x in (alias, field)])
+    contained = key
+    for alias, field in reversed(_stems(table)):
+        contained = F.when(key.contains(alias), field).otherwise(contained)
+    return F.coalesce(F.element_at(exact, key), contained)
 
 
 def _json_type(value: object) -> str | None:
@@ -114,8 +130,7 @@ def catalogue(rows: DataFrame, files: DataFrame, aliases: dict[str, list[str]] |
         F.max(F.when(F.col("json_type").isNotNull(), F.struct("n", F.negative(F.ascii("json_type")).alias("o"), "json_type")))["json_type"].alias("json_type"),
         F.sum("n").alias("n_rows"),
     )
-    named = typed.withColumn("alias", header_key(F.col("header"))).join(F.broadcast(alias_frame(rows.sparkSession, aliases)), "alias", "left")
-    named = named.withColumn("field", F.coalesce("field", F.col("alias"))).drop("alias")
+    named = typed.withColumn("alias", header_key(F.col("header"))).withColumn("field", field_column(F.col("alias"), aliases)).drop("alias")
     return named.join(placed, "source_file_id")
 
 
@@ -187,7 +202,6 @@ def consolidate(rows: DataFrame, aliases: dict[str, list[str]] | None = None) ->
     ``rest`` holding the text.
     """
     table = aliases or ALIASES
-    known = {alias: field for field, names in table.items() for alias in names}
     fields = list(table)
     fold = str.maketrans(ACCENTED, PLAIN)
 
@@ -207,9 +221,9 @@ def consolidate(rows: DataFrame, aliases: dict[str, list[str]] | None = None) ->
                 rest = {}
                 for header in sorted(row):
                     if header not in keys:
-                        keys[header] = known.get("".join(c for c in header.lower().translate(fold) if c.isascii() and c.isalnum()))
+                        keys[header] = field_of("".join(c for c in header.lower().translate(fold) if c.isascii() and c.isalnum()), table)
                     field, value = keys[header], _flat(row[header])
-                    if field and value and field not in got:
+                    if field in table and value and field not in got:
                         got[field] = value
                     elif value:
                         rest[header] = value

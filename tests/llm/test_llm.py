@@ -172,7 +172,7 @@ def test_index_recall_against_brute_force(spark):
     probe = entity_match.features(left, "id", ["n", "alt"], "a", "cp", "town", "lat", "lon", "siret")
     model = spark.sparkContext.broadcast(entity_match.train(probe.unionByName(registry)))
     a, b = entity_match.buckets_of(probe, model, True), entity_match.buckets_of(registry, model, False)
-    met = {(r[0], r[1]) for r in a.withColumnRenamed("rid", "l").join(b.withColumnRenamed("rid", "p"), "bucket").select("l", "p").distinct().collect()}
+    met = {(r[0], r[1]) for r in entity_match.candidates_of(a, b).collect()}
     assert sum((k, 10**13 + k) in met for k in range(400)) >= 0.9 * 400
     assert len(met) < 40 * 500
 

@@ -57,5 +57,12 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in found} | registry.QUERIES
 
 
+NUMBER = "try_cast(replace(regexp_replace({c}, '[\\s' || chr(160) || ']+', '', 'g'), ',', '.') AS DOUBLE)"
+POINTS = f"""(SELECT {{k}}, CASE WHEN a BETWEEN 41 AND 51.5 AND b BETWEEN -5.5 AND 10 THEN a ELSE b END AS lat, CASE WHEN a BETWEEN 41 AND 51.5 AND b BETWEEN -5.5 AND 10 THEN b ELSE a END AS lon FROM
+ (SELECT {{k}}, {NUMBER.format(c="lat")} AS a, {NUMBER.format(c="lon")} AS b FROM {{t}}) WHERE (a BETWEEN 41 AND 51.5 AND b BETWEEN -5.5 AND 10) OR (b BETWEEN 41 AND 51.5 AND a BETWEEN -5.5 AND 10))"""
+P5_SQL = f"""SELECT DISTINCT listing_no, siret FROM {POINTS.format(k="listing_no", t="listings")} l JOIN {POINTS.format(k="siret", t="population")} p ON abs(l.lat - p.lat) < 0.001 AND
+ 2 * 6371000 * asin(sqrt(least(1.0, pow(sin(radians(p.lat - l.lat) / 2), 2) + cos(radians(l.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - l.lon) / 2), 2)))) <= 100"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(registry.ORACLES)
+    return registry.ORACLES | {"p5_found": P5_SQL}

@@ -137,5 +137,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+def _repeats_sql(name: str, columns: list[str]) -> str:
+    """Rows that repeat another by canonical strings: what the hashes must agree with."""
+    id_col, aside, loose, swaps = REPEATING[name]
+    plain = "regexp_replace(lower(nfc_normalize(coalesce({c}, ''))), '[^\\p{{L}}\\p{{N}}\\p{{M}}]', '', 'g')"
+    mail = "regexp_replace(regexp_replace(lower(nfc_normalize(coalesce({c}, ''))), '[\\s' || chr(160) || ']+', '', 'g'), '^[^\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+$', '', 'g')"
+    fold = {c: (mail if c in loose else plain).format(c=c) for c in columns}
+    parts = [fold[c] for c in columns if not any(c in pair for pair in swaps)]
+    parts += [f"{f}({fold[a]}, {fold[b]})" for a, b in swaps for f in ("least", "greatest")]
+    return f"SELECT '{name}' AS table_name, first_id, copy_id FROM (SELECT {id_col} AS copy_id, min({id_col}) OVER (PARTITION BY {', '.join(parts)}) AS first_id FROM {name}) WHERE first_id <> copy_id"
+
+
+INGEST = "trade_name legal_name contact_full_name address_line1 address_line2 postal_code city phone_main phone_alt siret email_address naf_label naf_code_source status_raw effectif_raw".split()
+BREEDERS = "raisonSociale siret gerant telephone email siteWebs codeNAF adresse codePostal ville productions statut_sirene".split()
+
+SIRET = "regexp_replace(regexp_replace(trim(siret), '\\.0+$', ''), '[\\s.\\-]', '', 'g')"
+DIGITS = "regexp_replace(regexp_replace(telephone_final, '[^0-9]', '', 'g'), '^(?:0033|33)([0-9]{9})$', '0\\1')"
+HOST = "regexp_replace(regexp_replace(regexp_replace(lower(trim(website_final)), '^[a-z][a-z0-9+.\\-]*://', ''), '[/?#].*$', ''), '^www\\.', '')"
+P2_SQL = f"""WITH e AS (SELECT *, {SIRET} AS s FROM producteurs_export), g AS (SELECT *, count(*) OVER (PARTITION BY s) AS n FROM e WHERE regexp_matches(s, '^[0-9]{{14}}$')), c AS (
+ SELECT s, 'telephone_final' AS field, source_telephone AS src, exported_at, export_no FROM g WHERE n > 1 AND regexp_matches({DIGITS}, '^0[1-9][0-9]{{8}}$') UNION ALL
+ SELECT s, 'email_final', source_email, exported_at, export_no FROM g WHERE n > 1 AND regexp_matches(trim(email_final), '^[^@\\s]+@[^@\\s.]+(\\.[^@\\s.]+)+$') AND lower(trim(coalesce(email_statut, ''))) <> 'invalide' UNION ALL
+ SELECT s, 'website_final', source_website, exported_at, export_no FROM g WHERE n > 1 AND regexp_matches({HOST}, '^[^\\s.]+(\\.[^\\s.]+)+$'))
+SELECT s AS siret, c.field, export_no FROM c LEFT JOIN source_ranks k ON k.field = c.field AND k.source = lower(trim(regexp_replace(c.src, '(?s)\\(.*$', '')))
+QUALIFY row_number() OVER (PARTITION BY s, c.field ORDER BY coalesce(rank_hint, 1000000), exported_at DESC, export_no) = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what SQL can express; the other operators are tested in tests/llm."""
+    repeats = f"{_repeats_sql('ingest_rows', INGEST)} UNION ALL {_repeats_sql('eleveurs_export', BREEDERS)}"
+    return {"p1_found": repeats, "p2_found": P2_SQL}

@@ -94,3 +94,52 @@ def _verdict(text: Column, own: Column, shared: Column, score: Column, reason: C
         .when((own == "cp+nom") & (score >= 1), out("valide", F.concat(F.lit("own:"), own)))
         .otherwise(out("hors_sujet", F.concat(F.lit("no_proof:"), own)))
     )
+
+
+def item_property(html: Column, name: str) -> Column:
+    """Text of the first element with an ``itemprop``; NULL without one."""
+    return F.nullif(strip_tags(F.regexp_extract(html, rf'(?is)itemprop="{name}"[^>]*>(.*?)</', 1)), F.lit(""))
+
+
+def listing_of(html: Column) -> Column:
+    """STRUCT(name, phone, email, street, postcode, town, description) of a directory page with item properties."""
+    from gristmill.functions.contact import normalize_phone
+    from gristmill.functions.emails import extract
+
+    title = F.nullif(strip_tags(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
+    return F.struct(
+        F.coalesce(title, item_property(html, "name")).alias("name"), normalize_phone(item_property(html, "telephone")).alias("phone"), F.get(extract(html), F.lit(0)).alias("email"),
+        item_property(html, "streetAddress").alias("street"), item_property(html, "postalCode").alias("postcode"), item_property(html, "addressLocality").alias("town"), item_property(html, "description").alias("description"))
+
+
+def phones_in_context(html: Column) -> Column:
+    """Distinct phones of a page that stand in a ``tel:`` link or at most 60 characters behind a phone word; sorted."""
+    from gristmill.functions.contact import national_digits, plausible_number
+
+    links = F.regexp_extract_all(html, F.lit(r"(?i)href=[\"']tel:([+0-9 .()\-]{9,20})"), F.lit(1))
+    near = F.regexp_extract_all(strip_tags(html), F.lit(r"(?i)(?:t[ée]l[ée]?phone|t[ée]l|portable|mobile|appelez)\b.{0,60}?((?:\+33|0033|0)[ .]?[1-9](?:[ .\-]?\d{2}){4})"), F.lit(1))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.concat(links, near), lambda p: national_digits(p)), lambda d: d.isNotNull() & plausible_number(d))))
+
+
+def in_place(text: Column, postcode: Column, commune: Column) -> Column:
+    """Whether a search result is of a place: its postcode stands in the text, else its commune does."""
+    town = norm(commune)
+    return F.coalesce((F.length(postcode) == 5) & text.contains(postcode), F.lit(False)) | F.coalesce((F.length(town) > 2) & F.concat(F.lit(" "), norm(text), F.lit(" ")).contains(F.concat(F.lit(" "), town, F.lit(" "))), F.lit(False))
+
+
+def slug(c: Column) -> Column:
+    """Lower-case words without accents, joined by hyphens."""
+    return F.regexp_replace(F.regexp_replace(F.lower(unaccent(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+
+
+def domain_matches_name(host: Column, name: Column, generic: list[str], least: float = 0.6) -> Column:
+    """Whether a domain is named after a business: words of its name, one of four letters, cover most of the domain's own part."""
+    core = F.regexp_replace(F.split(F.lower(host), r"\.")[0], "[^a-z0-9]", "")
+    for word in sorted(generic, key=len, reverse=True):
+        core = F.replace(core, F.lit(word.lower()), F.lit(""))
+
+    def covered(own: Column) -> Column:
+        hits = F.filter(F.array_distinct(F.split(F.lower(norm(name)), " ")), lambda t: (F.length(t) > 2) & ~t.isin(*[g.lower() for g in generic]) & own.contains(t))
+        return let(hits, lambda h: (F.length(own) >= 4) & F.exists(h, lambda t: F.length(t) >= 4) & (F.length(F.array_join(h, "")) / F.length(own) >= least))
+
+    return F.coalesce(let(core, covered), F.lit(False))

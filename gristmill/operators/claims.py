@@ -51,3 +51,32 @@ def ranked_list(claims: DataFrame, entity: str, value: str, rank: Column, altern
         F.max(F.when(F.col("place") == 1, F.col(value))).alias("first"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") > 1, F.struct("place", value)))), lambda x: x[value]), " | ").alias("others"),
     )
+
+
+def crowded(df: DataFrame, group: str, value: str, most: int) -> DataFrame:
+    """Rows without the groups that hold more than ``most`` distinct values (a store list on one domain)."""
+    return df.join(shared_values(df, value, group, most).select(group), group, "left_anti")
+
+
+def context(claims: DataFrame, entity: str, rank: Column, first_of: list[str], union_of: list[str]) -> DataFrame:
+    """Each of ``first_of`` from the best ranked row that has it; each ``|``-list of ``union_of`` merged without repeats."""
+    best = [F.min(F.when(F.trim(c) != "", F.struct(F.coalesce(rank, F.lit(1 << 30)).alias("k"), F.col(c).alias("v"))))["v"].alias(c) for c in first_of]
+    tags = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda t: F.trim(t)), lambda t: t != "")
+    lists = [F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(tags(c))))), "|").alias(c) for c in union_of]
+    return claims.groupBy(entity).agg(*best, *lists)
+
+
+def admissible(claims: DataFrame, rules: list[tuple[Column, Column | None]], source: str) -> DataFrame:
+    """Claims whose source the first rule that applies keeps or renames; a rule with no name drops the claim."""
+    named: Column | None = None
+    for condition, name in rules:
+        value = F.lit(None).cast("string") if name is None else name
+        named = F.when(condition, value) if named is None else named.when(condition, value)
+    kept = F.col(source) if named is None else named.otherwise(F.col(source))
+    return claims.withColumn(source, kept).filter(F.col(source).isNotNull())
+
+
+def first_site(results: DataFrame, entity: str, position: str, host: str, aside: list[str]) -> DataFrame:
+    """The first result of each entity whose host is no aggregator, with its position."""
+    own = F.col(host).isNotNull() & ~F.col(host).rlike("(" + "|".join(a.replace(".", r"\.") for a in aside) + ")")
+    return results.filter(own).groupBy(entity).agg(F.min(F.struct(F.col(position).alias("position"), F.col(host).alias("host"))).alias("x")).select(entity, "x.host", "x.position")

@@ -115,3 +115,40 @@ def call_sheet(rows: DataFrame, order: str, siret: str, phone: str, sent: DataFr
 def last_verdict(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row of each key said last."""
     return rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last()))).filter("_rank = 1").drop("_rank")
+
+
+def elect_primary(rows: DataFrame, group: str, flag: str, usable: Column, order: list[Column]) -> DataFrame:
+    """``rows`` where a group without a usable flagged row gets one: the first usable by ``order``; flags of unusable rows go."""
+    kept = rows.withColumn("_usable", F.coalesce(usable, F.lit(False))).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)) & F.col("_usable"))
+    keys = [o.alias(f"o{i}") for i, o in enumerate(order)]
+    need = kept.groupBy(group).agg(F.max(flag).alias("_has"), F.min(F.when(F.col("_usable"), F.struct(*keys))).alias("_first"))
+    joined = kept.join(need, group, "left")
+    chosen = F.col("_usable") & ~F.col("_has") & (F.struct(*keys) == F.col("_first"))
+    return joined.withColumn(flag, F.col(flag) | F.coalesce(chosen, F.lit(False))).drop("_usable", "_has", "_first")
+
+
+def propagate_invalid(emails: DataFrame, verdicts: DataFrame, address: str, verdict: str) -> DataFrame:
+    """Every row of an address that any source found invalid is invalid; other verdicts stay."""
+    bad = verdicts.filter(F.col(verdict) == "invalide").select(F.lower(F.trim(address)).alias("_bad")).distinct().withColumn("_hit", F.lit(True))
+    return emails.join(bad, F.lower(F.trim(emails[address])) == F.col("_bad"), "left").withColumn(verdict, F.when(F.col("_hit"), "invalide").otherwise(F.col(verdict))).drop("_bad", "_hit")
+
+
+def recovery_verdict(found: DataFrame, query: str, identifier: str, score: str) -> DataFrame:
+    """What a search says of each query: one exact name is confident, several ambiguous, else probable from 0.8, else weak."""
+    exact = F.col(score) >= 1.0
+    got = found.groupBy(query).agg(F.countDistinct(F.when(exact, F.col(identifier))).alias("n"), F.min(F.when(exact, F.col(identifier))).alias("exact"),
+                                   F.max(F.when(F.col(identifier).isNotNull(), F.struct(F.col(score).alias("s"), F.col(identifier).alias("i")))).alias("best"))
+    verdict = F.when(F.col("best").isNull(), "no_result").when(F.col("n") == 1, "confident").when(F.col("n") > 1, "ambiguous").when(F.col("best.s") >= 0.8, "probable").otherwise("weak")
+    return got.select(query, verdict.alias("verdict"), F.when(F.col("n") == 1, F.col("exact")).when(F.col("n") == 0, F.col("best.i")).alias(identifier))
+
+
+def unit_state(asked: DataFrame, units: DataFrame, siret: str) -> DataFrame:
+    """State of each asked establishment: its own of the unit with its siren, else that unit's head office, else unknown.
+
+    ``units`` is (siren, etabs ARRAY<STRUCT<siret, etat, siege>>); a unit with another siren is never taken.
+    """
+    joined = asked.select(siret, F.substring(siret, 1, 9).alias("siren")).join(units, "siren", "left")
+    own = F.get(F.filter("etabs", lambda e: e["siret"] == F.col(siret)), F.lit(0))["etat"]
+    head = F.get(F.filter("etabs", lambda e: e["siege"]), F.lit(0))["etat"]
+    state = F.coalesce(own, head)
+    return joined.select(siret, F.when(state == "A", "actif").when(state == "F", "ferme").otherwise("inconnu").alias("state"), F.when(own.isNotNull(), "own").when(head.isNotNull(), "head").alias("by"))

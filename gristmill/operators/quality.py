@@ -81,3 +81,16 @@ def contract(df: DataFrame, mapped: list[str], required: list[str]) -> list[str]
 def confusion(df: DataFrame, known: str, judged: str) -> DataFrame:
     """How often each known verdict was judged each way."""
     return df.groupBy(known, judged).agg(F.count(F.lit(1)).alias("n"))
+
+
+class CeilingExceeded(RuntimeError):
+    """A rate above what the data may have: stop before anything is written."""
+
+
+def ceiling(df: DataFrame, broken: Column, most: float, least_rows: int, what: str) -> float:
+    """Share of rows for which ``broken`` holds; raises above ``most`` once there are ``least_rows`` of them."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("b")).collect()[0]
+    rate = row["b"] / row["n"] if row["n"] else 0.0
+    if row["n"] >= least_rows and rate > most:
+        raise CeilingExceeded(f"{what}: {rate:.1%} of {row['n']} rows, {most:.1%} allowed")
+    return rate

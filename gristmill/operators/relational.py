@@ -55,3 +55,19 @@ def union_to(schema: list[str], frames: dict[str, DataFrame]) -> DataFrame:
     """Union of differing sources to one schema with the source's name; what a source lacks is NULL."""
     parts = [df.select(*[(F.col(f"`{c}`").cast("string") if c in df.columns else F.lit(None).cast("string")).alias(c) for c in schema], F.lit(name).alias("source")) for name, df in frames.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def sample_by_hash(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows chosen by a hash of their key: the same ones for any partitioning and any run."""
+    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+
+
+def most_frequent(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The most frequent non-NULL value of each group, the least of several; two map-side aggregations."""
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("k"), F.col(value).alias("v"))).alias("x")).select(*keys, F.col("x.v").alias(value), (-F.col("x.k")).alias("n"))
+
+
+def first_tag(tags: Column, *names: str) -> Column:
+    """First of several spellings of a tag that a MAP has."""
+    return F.coalesce(*[F.nullif(F.trim(F.element_at(tags, n)), F.lit("")) for n in names])

@@ -179,7 +179,9 @@ def repeated_rows(df: DataFrame, id_col: str, columns: list[str], loose: list[st
     is hot: there are fewer than a thousand, so their first rows are broadcast. The texts of the rest of the repeated
     rows meet their first row in a join on the key.
     """
-    loose, swaps = loose or [], swaps or []
+    inner = {c: f"c{k}" for k, c in enumerate(columns)}  # names of our own, whatever the table's are
+    df = df.select(F.col(f"`{id_col}`").alias("row"), *[F.col(f"`{c}`").alias(k) for c, k in inner.items()])
+    id_col, columns, loose, swaps = "row", list(inner.values()), [inner[c] for c in loose or []], [(inner[a], inner[b]) for a, b in swaps or []]
     rows = with_key(df, id_col, columns, loose, swaps)
     keys = cut_lineage(rows.select("id", "key"))
     total = keys.count()

@@ -87,6 +87,8 @@ def pack_documents(sizes: DataFrame, sets: DataFrame, window: int = 2048, merge:
     windows = max(1, documents // window)
     sets = sets.filter("capacity_tokens > 0").select("container_set", F.col("capacity_tokens").cast("int").alias("capacity")).distinct()
     choices = [(r["container_set"], r["capacity"]) for r in sets.collect()]  # a few rows by definition
+    if not choices:
+        return sizes.sparkSession.createDataFrame([], RESULT)
     items = sizes.withColumn("s", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c in choices]))).select("id", "tokens", F.col("s.n").alias("container_set"), F.col("s.c").alias("capacity"))
     full = F.floor(F.col("tokens") / F.col("capacity")).cast("int")
     rest = (F.col("tokens") - full * F.col("capacity")).cast("int")

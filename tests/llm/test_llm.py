@@ -38,8 +38,8 @@ def test_hash_equals_iff_folded_equal(texts, loose):
 def test_repeated_rows(spark):
     data = [(1, "SARL Été", "12 rue A", None, "a@b.fr", 9), (2, "s.a.r.l. ÉTÉ", None, "12, Rue A", " A@B.FR;", 8), (3, "SARL Ete", "12 rue A", None, "a@b.fr", 7), (4, "SARL Été", "12 rue A", "", "ab@b.fr", 6),
             (5, None, None, None, None, 5), (6, "", "", None, None, 4), (7, "SARL Été", "12 rue A", None, "a@b.fr", 3), (8, "x" * 20_000, None, None, None, 2)]
-    df = spark.createDataFrame(data, "id bigint, n string, a1 string, a2 string, e string, other int")
-    args = ("id", ["n", "a1", "a2", "e"], ["e"], [("a1", "a2")])
+    df = spark.createDataFrame(data, "id bigint, key string, a1 string, a2 string, `first id` string, other int")
+    args = ("id", ["key", "a1", "a2", "first id"], ["first id"], [("a1", "a2")])
     found = format_duplicates.repeated_rows(df, *args)
     assert rows(found) == [(1, 2), (1, 7), (5, 6)]
     assert rows(format_duplicates.collapse(df, "id", found)) == [(1, 3), (3, 1), (4, 1), (5, 2), (8, 1)]
@@ -205,6 +205,7 @@ def test_pack_documents(spark):
     assert (used["u"] == used["used"]).all() and (used["used"] + used["slack"] == 512).all() and used["u"].sum() / (512 * len(used)) > 0.98
     empty = packing.pack_documents(spark.createDataFrame([], "id bigint, tokens bigint"), sets)
     assert empty.count() == 0
+    assert packing.pack_documents(spark.createDataFrame(sizes, "id bigint, tokens bigint"), sets.limit(0)).count() == 0
 
 
 # 9: mixing

@@ -73,8 +73,8 @@ def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
     """The establishment of each listing with a confidence."""
     listings = entity_match.features(table(spark, folder, "listings"), "listing_no", ["name", "alt_name"], "address", "postcode", "city", "lat", "lon", "siret")
     names = ["raisonSociale", "enseigne", "denomination_legale", "gerant"]
-    newest = F.max_by(F.struct("*"), F.struct("loaded_at", F.to_json(F.struct(*names, "adresse"))))
-    places = table(spark, folder, "population").groupBy("siret").agg(newest.alias("x")).select("x.*")
+    newest = F.max(F.struct("loaded_at", *names, "adresse", "codePostal", "ville", "lat", "lon"))  # the latest row of a siret, delivered twice or not
+    places = table(spark, folder, "population").groupBy("siret").agg(newest.alias("x")).select("siret", "x.*")
     registry = entity_match.features(places, "siret", names, "adresse", "codePostal", "ville", "lat", "lon", "siret")
     return entity_match.match(listings, registry).select(F.col("rid").alias("listing_no"), F.lpad(F.col("found").cast("string"), 14, "0").alias("siret"), "confidence")
 

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.functions import contact, geo, names, places
+from gristmill.functions import contact, dates, geo, names, places
 from gristmill.operators.spatial import distance_join
 
 #: Rungs in order (fixed values).
@@ -31,11 +31,12 @@ def listing_side(df: DataFrame) -> DataFrame:
 
 def registry_side(df: DataFrame) -> DataFrame:
     """Establishments likewise: id p; several rows of one siret count as its first by name and address."""
-    first = df.groupBy("siret").agg(F.min(F.struct("raisonSociale", "adresse", "codePostal", "lat", "lon")).alias("x")).select("siret", "x.*")
+    opened = [F.col("date_creation")] if "date_creation" in df.columns else [F.lit(None).cast("string").alias("date_creation")]
+    first = df.groupBy("siret").agg(F.min(F.struct("raisonSociale", "adresse", "codePostal", "lat", "lon", *opened)).alias("x")).select("siret", "x.*")
     point, parts = geo.located(F.col("lat"), F.col("lon")), places.address_parts(F.coalesce("adresse", F.lit("")))
     first = first.select("*", point.alias("_at"), parts.alias("_parts"))
     point, parts = F.col("_at"), F.col("_parts")
-    return first.select(F.col("siret").alias("p"), F.array_distinct(names.tokens(F.coalesce("raisonSociale", F.lit("")))).alias("p_words"),
+    return first.select(F.col("siret").alias("p"), dates.parse_date(F.col("date_creation")).alias("opened"), F.array_distinct(names.tokens(F.coalesce("raisonSociale", F.lit("")))).alias("p_words"),
                         contact.clean_postal_code(F.col("codePostal")).alias("cp"), parts["house"].alias("house"), parts["words"].alias("p_street"), point["lat"].alias("lat"), point["lon"].alias("lon"))
 
 
@@ -54,8 +55,12 @@ def _decided(df: DataFrame, rung: str, hit: Column) -> DataFrame:
     return df.select("l", F.when(hit, F.col("p")).alias("p"), F.lit(rung).alias("rung"), F.when(hit, "hit").otherwise("reject").alias("outcome"))
 
 
-def match(listings: DataFrame, registry: DataFrame) -> DataFrame:
-    """(l, p, rung, outcome) of every listing that some rung decides; ``p`` is NULL for a rejection."""
+def match(listings: DataFrame, registry: DataFrame, min_gap_days: int = 365) -> DataFrame:
+    """(l, p, rung, outcome) of every listing that some rung decides; ``p`` is NULL for a rejection.
+
+    Several establishments at one address that no name tells apart: the one opened at least ``min_gap_days`` after the
+    next is taken, else the rung rejects. A missing date counts as the oldest.
+    """
     exact = listings.filter("l_siret IS NOT NULL").join(registry.select("p"), F.col("l_siret") == F.col("p")).select("l", "p")
     found = [_decided(exact, RUNGS[0], F.lit(True))]
     siblings = registry.select(F.substring("p", 1, 9).alias("siren"), "p", F.col("cp").alias("p_cp"))
@@ -74,10 +79,12 @@ def match(listings: DataFrame, registry: DataFrame) -> DataFrame:
     found.append(_decided(geo_, RUNGS[2], F.when(F.col("n_named") > 0, F.col("tight").isNull()).otherwise(F.col("n_alone") == 1)))
     block = ["cp", "house", "word"]
     street_l = listings.filter("cp IS NOT NULL AND house IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("l_street"), STREET_LEAST))).select("l", "l_words", "l_street", *block)
-    street_p = registry.filter("cp IS NOT NULL AND house IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("p_street"), STREET_LEAST))).select("p", "p_words", "p_street", *block)
-    street = street_l.join(street_p, block).filter(_jaccard("l_street", "p_street") >= STREET_LEAST).select("l", "p", (_jaccard("l_words", "p_words") >= NAME_LEAST).alias("named")).distinct()
-    street = street.groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.count_if("named").alias("n_named"), F.min("p").alias("only"), F.min(F.when(F.col("named"), F.col("p"))).alias("with_name"))
-    found.append(_decided(street.select("l", "n", "n_named", F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("with_name")).alias("p")), RUNGS[3], (F.col("n") == 1) | (F.col("n_named") == 1)))
+    street_p = registry.filter("cp IS NOT NULL AND house IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("p_street"), STREET_LEAST))).select("p", "p_words", "p_street", "opened", *block)
+    street = street_l.join(street_p, block).filter(_jaccard("l_street", "p_street") >= STREET_LEAST).select("l", "p", F.coalesce("opened", F.lit("0001-01-01").cast("date")).alias("opened"), (_jaccard("l_words", "p_words") >= NAME_LEAST).alias("named")).distinct()
+    street = street.withColumn("place", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("opened"), "p")))
+    at = lambda k, c: F.max(F.when(F.col("place") == k, F.col(c)))
+    street = street.groupBy("l").agg(at(1, "p").alias("newest"), F.datediff(at(1, "opened"), at(2, "opened")).alias("gap"), F.count(F.lit(1)).alias("n"), F.count_if("named").alias("n_named"), F.min("p").alias("only"), F.min(F.when(F.col("named"), F.col("p"))).alias("with_name"))
+    found.append(_decided(street.select("l", "n", "n_named", "gap", F.when(F.col("n") == 1, F.col("only")).when(F.col("n_named") == 1, F.col("with_name")).otherwise(F.col("newest")).alias("p")), RUNGS[3], (F.col("n") == 1) | (F.col("n_named") == 1) | (F.col("gap") >= min_gap_days)))
     block = ["cp", "word"]
     name_l = listings.filter("cp IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("l_words"), NAME_LEAST))).select("l", "l_words", *block)
     name_p = registry.filter("cp IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("p_words"), NAME_LEAST))).select("p", "p_words", *block)

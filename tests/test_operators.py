@@ -157,15 +157,16 @@ def test_quality(spark):
 
 def test_cascade(spark):
     pop = spark.createDataFrame([
-        ("11111111100011", "Ferme Dupont", "12 rue de la Gare", "63370", "45.0", "3.0"), ("22222222200022", "Rucher Bleu", "3 rue Haute", "63370", "45.1", "3.1"),
+        ("66666666600066", "Tri Un", "7 rue Tri", "03000", None, None), ("77777777700077", "Tri Deux", "7 rue Tri", "03000", None, None), ("11111111100011", "Ferme Dupont", "12 rue de la Gare", "63370", "45.0", "3.0"), ("22222222200022", "Rucher Bleu", "3 rue Haute", "63370", "45.1", "3.1"),
         ("33333333300033", "Domaine Vert", "9 rue Basse", "01000", None, None), ("44444444400044", "Chai Un", "5 rue Neuve", "02000", None, None), ("55555555500055", "Chai Deux", "5 rue Neuve", "02000", None, None),
     ], "siret string, raisonSociale string, adresse string, codePostal string, lat string, lon string")
+    pop = pop.withColumn("date_creation", F.when(F.col("siret").startswith("6"), "2001-01-01").when(F.col("siret").startswith("7"), "03/04/2020"))
     listings = spark.createDataFrame([
         (1, "x", None, None, "11111111100011", None, None), (2, "Rucher Bleu", None, None, None, "45.1001", "3.1"), (3, "Autre", "9, r. Basse", "01000", None, None, None),
-        (4, "Domaine Vert", None, "01000", None, None, None), (5, "Inconnu", "5 rue Neuve", "02000", None, None, None), (6, "rien", None, None, None, None, None), (7, None, None, None, "33333333399999", None, None),
+        (4, "Domaine Vert", None, "01000", None, None, None), (5, "Inconnu", "5 rue Neuve", "02000", None, None, None), (6, "rien", None, None, None, None, None), (8, "Zzz", "7 r Tri", "03000", None, None, None), (7, None, None, None, "33333333399999", None, None),
     ], "listing_no int, name string, address string, postcode string, siret string, lat string, lon string")
     got = {r["l"]: (r["p"], r["rung"], r["outcome"]) for r in cascade.match(cascade.listing_side(listings), cascade.registry_side(pop)).collect()}
-    assert got == {1: ("11111111100011", "siret_exact", "hit"), 2: ("22222222200022", "geo", "hit"), 3: ("33333333300033", "addr_street", "hit"), 4: ("33333333300033", "name_place", "hit"), 5: (None, "addr_street", "reject"), 7: ("33333333300033", "siren_unique", "hit")}
+    assert got == {1: ("11111111100011", "siret_exact", "hit"), 2: ("22222222200022", "geo", "hit"), 3: ("33333333300033", "addr_street", "hit"), 4: ("33333333300033", "name_place", "hit"), 5: (None, "addr_street", "reject"), 7: ("33333333300033", "siren_unique", "hit"), 8: ("77777777700077", "addr_street", "hit")}
 
 
 def test_incremental(spark, tmp_path):

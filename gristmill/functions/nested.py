@@ -146,8 +146,9 @@ def notice_roles(notices: DataFrame) -> DataFrame:
 
 
 def detail_get(detail: Column, key: str) -> Column:
-    """Value of a key in ``k=v; k=v`` text."""
-    return F.nullif(F.trim(F.element_at(F.str_to_map(F.regexp_replace(detail, r"\s*;\s*", ";"), F.lit(";"), F.lit("=")), key)), F.lit(""))
+    """Value of a key in ``k=v; k=v`` text, the first where the key is repeated."""
+    own = F.get(F.filter(F.split(detail, r"\s*;\s*"), lambda x: F.startswith(x, F.lit(f"{key}="))), F.lit(0))
+    return F.nullif(F.trim(F.substr(own, F.lit(len(key) + 2))), F.lit(""))
 
 
 def merge_tags(*groups: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import contact, dates, geo, names, places
 from gristmill.operators.spatial import distance_join
+from gristmill.session import cut_lineage
 
 #: Rungs in order (fixed values).
 RUNGS = ["siret_exact", "siren_unique", "geo", "addr_street", "name_place"]
@@ -61,6 +62,7 @@ def match(listings: DataFrame, registry: DataFrame, min_gap_days: int = 365) ->
     Several establishments at one address that no name tells apart: the one opened at least ``min_gap_days`` after the
     next is taken, else the rung rejects. A missing date counts as the oldest.
     """
+    listings, registry = cut_lineage(listings), cut_lineage(registry)  # taken apart once, read by every rung
     exact = listings.filter("l_siret IS NOT NULL").join(registry.select("p"), F.col("l_siret") == F.col("p")).select("l", "p")
     found = [_decided(exact, RUNGS[0], F.lit(True))]
     siblings = registry.select(F.substring("p", 1, 9).alias("siren"), "p", F.col("cp").alias("p_cp"))

@@ -8,16 +8,11 @@ from pyspark.sql import functions as F
 from gristmill.functions.names import clean_surname, tokens
 from gristmill.functions.text import let, unaccent
 
-OFFICER = "struct<type_dirigeant:string,nom:string,prenoms:string,qualite:string>"
 UNIT_SCHEMA = (
     "siren string, nom_raison_sociale string, activite_principale string, nature_juridique string, date_creation string, "
     "dirigeants array<struct<type_dirigeant:string,nom:string,prenoms:string,qualite:string>>, matching_etablissements array<struct<siret:string,etat_administratif:string,code_postal:string,"
     "activite_principale:string,liste_enseignes:array<string>,nom_commercial:string,adresse:string,libelle_commune:string,latitude:string,longitude:string,est_siege:boolean>>"
 )
-LD_SCHEMA = (
-    "`@type` string, name string, telephone string, email string, url string, address struct<streetAddress:string,postalCode:string,addressLocality:string>, "
-    "geo struct<latitude:string,longitude:string>, sameAs array<string>"
-)
 #: Roles of officers by rank, tried in this order; an auditor is never picked (fixed values).
 ROLE_RANKS = [
     (r"liquidateur|administrateur judiciaire|mandataire|curateur", 5), (r"vice.?president|president.?adjoint", 3), (r"\bgerant", 1), (r"\bpresident", 1),

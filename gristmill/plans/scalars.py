@@ -171,8 +171,9 @@ def parsed_people(spark: SparkSession, d: str) -> DataFrame:
     pop = table(spark, d, "population").select("siret", "raisonSociale", "gerant").distinct()
     first = F.upper(F.split(norm(F.col("gerant")), " ")[0])
     gazetteer = pop.filter("gerant IS NOT NULL").groupBy(first.alias("w")).agg(F.count(F.lit(1)).alias("n")).filter("n >= 3 AND length(w) >= 3").orderBy(F.desc("n"), "w").limit(5000)
-    known = gazetteer.agg(F.array_sort(F.collect_set("w")).alias("g"))  # at most 5,000 words in one row
-    named = pop.join(F.broadcast(known)).withColumn("x", names.parse_person(F.col("raisonSociale"), F.col("g")))
+    words = pop.select("siret", "raisonSociale", F.explode(F.transform(names.person_tokens(F.col("raisonSociale")), lambda p: p["word"])).alias("w"))
+    hits = words.join(F.broadcast(gazetteer.select("w")), "w").groupBy("siret", "raisonSociale").agg(F.collect_set("w").alias("g"))  # at most 5,000 first names
+    named = hits.withColumn("x", names.parse_person(F.col("raisonSociale"), F.col("g")))
     return named.filter("x IS NOT NULL").select("siret", "x.first_name", "x.last_name").distinct()
 
 

@@ -10,7 +10,6 @@ its layers are walked backwards to get how many items of each length to take. Wh
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame

@@ -177,6 +177,34 @@ def test_index_recall_against_brute_force(spark):
     assert len(met) < 40 * 500
 
 
+def test_index_recall_does_not_fall_with_the_crowd(spark):
+    """Slips and partial names without a way, in one town: few or many records there, the index finds them alike."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(["ba", "lo", "mi", "ru", "te", "sa", "vi", "no", "ke", "fu"]) for _ in range(4)).upper()
+    for n in (100, 2000):
+        pop, listings = [], []
+        for k in range(n):
+            a, b = word(), word()
+            pop.append((str(10**13 + k), f"SARL FERME {a} {b}", f"{k} rue {word()}", "63370", "VILLE", None, None))
+            at = rng.randrange(1, 7)
+            listings.append((k, f"Ferme {a[:at] + a[at + 1:]} {b}" if k % 2 else f"Ferme {a}", None, "63370", "VILLE", None, None, None))
+        p = spark.createDataFrame(pop, "siret string, n string, a string, cp string, town string, lat string, lon string")
+        left = spark.createDataFrame(listings, "id bigint, n string, a string, cp string, town string, lat string, lon string, siret string")
+        registry = entity_match.features(p, "siret", ["n"], "a", "cp", "town", "lat", "lon", "siret")
+        probe = entity_match.features(left, "id", ["n"], "a", "cp", "town", "lat", "lon", "siret")
+        model = spark.sparkContext.broadcast(entity_match.train(probe.unionByName(registry)))
+        met = {(r[0], r[1]) for r in entity_match.candidates_of(entity_match.buckets_of(probe, model, True), entity_match.buckets_of(registry, model, False)).collect()}
+        assert sum((k, 10**13 + k) in met for k in range(n)) >= 0.98 * n
+
+
+@given(st.text("ABCD", min_size=5, max_size=11), st.integers(0, 10), st.sampled_from("ABCDE"), st.sampled_from(["change", "omit", "add", "swap"]))
+@settings(max_examples=300, deadline=None)
+def test_slip_keys(word, at, letter, kind):
+    at = min(at, len(word) - 2)
+    slip = {"change": word[:at] + letter + word[at + 1 :], "omit": word[:at] + word[at + 1 :], "add": word[:at] + letter + word[at:], "swap": word[:at] + word[at + 1] + word[at] + word[at + 2 :]}[kind]
+    assert len(slip) < 5 or set(entity_match.slip_keys(word)) & set(entity_match.slip_keys(slip))
+
+
 # 8: packing
 
 @given(st.lists(st.integers(1, 30), max_size=12), st.integers(0, 60))

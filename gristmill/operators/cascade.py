@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions import contact, dates, geo, names, places
+from gristmill.functions.text import norm
 from gristmill.operators.spatial import distance_join
 from gristmill.session import cut_lineage
 
@@ -21,23 +22,42 @@ RUNGS = ["siret_exact", "siren_unique", "geo", "addr_street", "name_place"]
 NAME_LEAST, GEO_M, GEO_ALONE_M, STREET_LEAST = 0.62, 150.0, 40.0, 0.6
 
 
+def _with_missing(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with those of ``columns`` that it lacks as NULL."""
+    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in columns if c not in df.columns])
+
+
+def _commune(c: Column) -> Column:
+    """Normal form of a town, ``ST``, ``STE`` and a lone ``S`` between words written out; NULL where nothing is left."""
+    out = norm(c)
+    for short, full in ((r"\bSTE\b", "SAINTE"), (r"\bST\b", "SAINT"), (r"(?<=\w )S(?= \w)", "SUR")):
+        out = F.regexp_replace(out, short, full)
+    return F.nullif(out, F.lit(""))
+
+
+def _name_sets(*columns: str) -> Column:
+    """Word sets of several names in order, NULL and blank ones as empty sets."""
+    return F.array(*[F.array_distinct(names.tokens(F.coalesce(c, F.lit("")))) for c in columns])
+
+
 def listing_side(df: DataFrame) -> DataFrame:
-    """Listings in the shape the rungs take: id l, name and address words, postcode, point, identifier."""
+    """Listings in the shape the rungs take: id l, words of the name, of it and the second name in order, and of the address, postcode, commune, point, identifier."""
+    df = _with_missing(df, "alt_name", "city")
     point, parts = geo.located(F.col("lat"), F.col("lon")), places.address_parts(F.coalesce("address", F.lit("")))
     df = df.select("*", point.alias("_at"), parts.alias("_parts"))
     point, parts = F.col("_at"), F.col("_parts")
-    return df.select(F.col("listing_no").alias("l"), F.array_distinct(names.tokens(F.coalesce("name", F.lit("")))).alias("l_words"), contact.clean_siret(F.col("siret")).alias("l_siret"),
+    return df.select(F.col("listing_no").alias("l"), _name_sets("name")[0].alias("l_words"), _name_sets("name", "alt_name").alias("l_names"), _commune(F.col("city")).alias("commune"), contact.clean_siret(F.col("siret")).alias("l_siret"),
                      contact.clean_postal_code(F.col("postcode")).alias("cp"), parts["house"].alias("house"), parts["words"].alias("l_street"), point["lat"].alias("lat"), point["lon"].alias("lon"))
 
 
 def registry_side(df: DataFrame) -> DataFrame:
-    """Establishments likewise: id p; several rows of one siret count as its first by name and address."""
-    opened = [F.col("date_creation")] if "date_creation" in df.columns else [F.lit(None).cast("string").alias("date_creation")]
-    first = df.groupBy("siret").agg(F.min(F.struct("raisonSociale", "adresse", "codePostal", "lat", "lon", *opened)).alias("x")).select("siret", "x.*")
+    """Establishments likewise: id p, all names; several rows of one siret count as its first by name and address."""
+    df = _with_missing(df, "date_creation", "enseigne", "denomination_legale", "gerant", "ville")
+    first = df.groupBy("siret").agg(F.min(F.struct("raisonSociale", "adresse", "codePostal", "lat", "lon", "date_creation", "enseigne", "denomination_legale", "gerant", "ville")).alias("x")).select("siret", "x.*")
     point, parts = geo.located(F.col("lat"), F.col("lon")), places.address_parts(F.coalesce("adresse", F.lit("")))
     first = first.select("*", point.alias("_at"), parts.alias("_parts"))
     point, parts = F.col("_at"), F.col("_parts")
-    return first.select(F.col("siret").alias("p"), dates.parse_date(F.col("date_creation")).alias("opened"), F.array_distinct(names.tokens(F.coalesce("raisonSociale", F.lit("")))).alias("p_words"),
+    return first.select(F.col("siret").alias("p"), dates.parse_date(F.col("date_creation")).alias("opened"), F.array_distinct(F.filter(_name_sets("raisonSociale", "enseigne", "denomination_legale", "gerant"), lambda w: F.size(w) > 0)).alias("p_names"), _commune(F.col("ville")).alias("commune"),
                         contact.clean_postal_code(F.col("codePostal")).alias("cp"), parts["house"].alias("house"), parts["words"].alias("p_street"), point["lat"].alias("lat"), point["lon"].alias("lon"))
 
 
@@ -47,10 +67,34 @@ def _prefix(words: Column, least: float) -> Column:
     return F.slice(ordered, 1, F.greatest(F.size(words) - F.ceil(F.size(words) * F.lit(least)).cast("int") + 1, F.lit(0)))
 
 
-def _jaccard(a: str, b: str) -> Column:
+def _jaccard(a: str | Column, b: str | Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))), F.lit(0.0))
 
 
+def _named() -> Column:
+    """Whether the listing's name is like one of the establishment's names."""
+    return F.exists("p_names", lambda w: _jaccard("l_words", w) >= NAME_LEAST)
+
+
+def _by_name(listings: DataFrame, registry: DataFrame) -> DataFrame:
+    """(l, p, hit) by name in one place: each name of a listing in turn, within the postcode and then the commune.
+
+    The first of these tries whose best establishment is more than 0.02 ahead of the next is a hit; where there is none
+    but some try was ambiguous, ``hit`` is false.
+    """
+    places_of = F.array(*[F.struct(F.lit(k).alias("pool"), F.col(c).alias("at")) for k, c in enumerate(["cp", "commune"])])
+    placed = lambda df, *columns: df.select(*columns, F.explode(F.filter(places_of, lambda x: x["at"].isNotNull())).alias("x")).select(*columns, "x.*")
+    block = ["pool", "at", "word"]
+    left = placed(listings.select("l", "cp", "commune", F.posexplode("l_names").alias("turn", "l_words")), "l", "turn", "l_words").withColumn("word", F.explode(_prefix(F.col("l_words"), NAME_LEAST)))
+    right = placed(registry.select("p", "cp", "commune", F.explode("p_names").alias("p_words")), "p", "p_words").withColumn("word", F.explode(_prefix(F.col("p_words"), NAME_LEAST)))
+    alike = left.join(right, block).select("l", (F.col("turn") * 2 + F.col("pool")).alias("try"), "p", _jaccard("l_words", "p_words").alias("score")).filter(F.col("score") >= NAME_LEAST)
+    scored = alike.groupBy("l", "try", "p").agg(F.max("score").alias("score"))
+    ranked = scored.withColumn("place", F.row_number().over(Window.partitionBy("l", "try").orderBy(F.desc("score"), "p"))).filter("place <= 2")
+    at = lambda k, c: F.max(F.when(F.col("place") == k, F.col(c)))
+    tries = ranked.groupBy("l", "try").agg(at(1, "p").alias("p"), (at(1, "score") - F.coalesce(at(2, "score"), F.lit(0.0)) > 0.02).alias("clear"))
+    return tries.groupBy("l").agg(F.min(F.when(F.col("clear"), F.struct("try", "p"))).alias("x")).select("l", "x.p", F.col("x").isNotNull().alias("hit"))
+
+
 def _decided(df: DataFrame, rung: str, hit: Column) -> DataFrame:
     """(l, p, rung, outcome) where ``hit`` says which row of (l, p, ...) is taken; NULL ``p`` is a rejection."""
     return df.select("l", F.when(hit, F.col("p")).alias("p"), F.lit(rung).alias("rung"), F.when(hit, "hit").otherwise("reject").alias("outcome"))
@@ -69,7 +113,7 @@ def match(listings: DataFrame, registry: DataFrame, min_gap_days: int = 365) ->
     same = listings.filter("l_siret IS NOT NULL").select("l", "cp", F.substring("l_siret", 1, 9).alias("siren")).join(siblings, "siren")
     counted = same.groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cp") == F.col("p_cp")).alias("n_cp"), F.min("p").alias("any"), F.min(F.when(F.col("cp") == F.col("p_cp"), F.col("p"))).alias("local"))
     found.append(_decided(counted.filter("n = 1 OR n_cp = 1").select("l", F.when(F.col("n") == 1, F.col("any")).otherwise(F.col("local")).alias("p")), RUNGS[1], F.lit(True)))
-    near = distance_join(listings.select("l", "l_words", "lat", "lon"), registry.select("p", "p_words", "lat", "lon"), GEO_M).withColumn("named", _jaccard("l_words", "p_words") >= NAME_LEAST)
+    near = distance_join(listings.select("l", "l_words", "lat", "lon"), registry.select("p", "p_names", "lat", "lon"), GEO_M).withColumn("named", _named())
     by_distance = F.struct("distance_m", "p")
     geo_ = near.groupBy("l").agg(
         F.min(F.when(F.col("named"), by_distance)).alias("first"), F.count_if(F.col("named")).alias("n_named"),
@@ -81,19 +125,13 @@ def match(listings: DataFrame, registry: DataFrame, min_gap_days: int = 365) ->
     found.append(_decided(geo_, RUNGS[2], F.when(F.col("n_named") > 0, F.col("tight").isNull()).otherwise(F.col("n_alone") == 1)))
     block = ["cp", "house", "word"]
     street_l = listings.filter("cp IS NOT NULL AND house IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("l_street"), STREET_LEAST))).select("l", "l_words", "l_street", *block)
-    street_p = registry.filter("cp IS NOT NULL AND house IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("p_street"), STREET_LEAST))).select("p", "p_words", "p_street", "opened", *block)
-    street = street_l.join(street_p, block).filter(_jaccard("l_street", "p_street") >= STREET_LEAST).select("l", "p", F.coalesce("opened", F.lit("0001-01-01").cast("date")).alias("opened"), (_jaccard("l_words", "p_words") >= NAME_LEAST).alias("named")).distinct()
+    street_p = registry.filter("cp IS NOT NULL AND house IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("p_street"), STREET_LEAST))).select("p", "p_names", "p_street", "opened", *block)
+    street = street_l.join(street_p, block).filter(_jaccard("l_street", "p_street") >= STREET_LEAST).select("l", "p", F.coalesce("opened", F.lit("0001-01-01").cast("date")).alias("opened"), _named().alias("named")).distinct()
     street = street.withColumn("place", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("opened"), "p")))
     at = lambda k, c: F.max(F.when(F.col("place") == k, F.col(c)))
     street = street.groupBy("l").agg(at(1, "p").alias("newest"), F.datediff(at(1, "opened"), at(2, "opened")).alias("gap"), F.count(F.lit(1)).alias("n"), F.count_if("named").alias("n_named"), F.min("p").alias("only"), F.min(F.when(F.col("named"), F.col("p"))).alias("with_name"))
     found.append(_decided(street.select("l", "n", "n_named", "gap", F.when(F.col("n") == 1, F.col("only")).when(F.col("n_named") == 1, F.col("with_name")).otherwise(F.col("newest")).alias("p")), RUNGS[3], (F.col("n") == 1) | (F.col("n_named") == 1) | (F.col("gap") >= min_gap_days)))
-    block = ["cp", "word"]
-    name_l = listings.filter("cp IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("l_words"), NAME_LEAST))).select("l", "l_words", *block)
-    name_p = registry.filter("cp IS NOT NULL").withColumn("word", F.explode(_prefix(F.col("p_words"), NAME_LEAST))).select("p", "p_words", *block)
-    named = name_l.join(name_p, block).select("l", "p", _jaccard("l_words", "p_words").alias("score")).filter(F.col("score") >= NAME_LEAST).distinct()
-    ranked = named.withColumn("place", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("score"), "p"))).filter("place <= 2")
-    top = ranked.groupBy("l").agg(F.max(F.when(F.col("place") == 1, F.col("p"))).alias("p"), F.max(F.when(F.col("place") == 1, F.col("score"))).alias("best"), F.max(F.when(F.col("place") == 2, F.col("score"))).alias("next"))
-    found.append(_decided(top, RUNGS[4], F.col("best") - F.coalesce("next", F.lit(0.0)) > 0.02))
+    found.append(_decided(_by_name(listings, registry), RUNGS[4], F.col("hit")))
     rank = F.array_position(F.array(*map(F.lit, RUNGS)), F.col("rung"))
     every = reduce(DataFrame.unionByName, found)
     return every.groupBy("l").agg(F.min(F.struct(rank.alias("k"), "p", "rung", "outcome")).alias("x")).select("l", "x.p", "x.rung", "x.outcome")

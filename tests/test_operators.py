@@ -169,6 +169,20 @@ def test_cascade(spark):
     assert got == {1: ("11111111100011", "siret_exact", "hit"), 2: ("22222222200022", "geo", "hit"), 3: ("33333333300033", "addr_street", "hit"), 4: ("33333333300033", "name_place", "hit"), 5: (None, "addr_street", "reject"), 7: ("33333333300033", "siren_unique", "hit"), 8: ("77777777700077", "addr_street", "hit")}
 
 
+def test_cascade_second_names_and_commune(spark):
+    pop = spark.createDataFrame([
+        ("11111111100011", "SARL Zig", "Ferme Dupont", None, None, "63370", "Saint-Jean"), ("22222222200022", "Rucher Bleu", None, None, None, "63000", "Clermont"),
+        ("33333333300033", "EARL Zag", None, None, "Jeanne Martin", "03000", "Moulins"), ("44444444400044", "Chai Un", None, None, None, "02001", "Laon"), ("55555555500055", "Chai Un", None, None, None, "02002", "Laon"),
+    ], "siret string, raisonSociale string, enseigne string, denomination_legale string, gerant string, codePostal string, ville string")
+    pop = pop.withColumns({c: F.lit(None).cast("string") for c in ("adresse", "lat", "lon")})
+    listings = spark.createDataFrame([
+        (1, "Ferme Dupont", None, None, "St Jean"), (2, "Rucher Bleu", None, "63100", "CLERMONT"), (3, "Les Poules", "Jeanne Martin", "03000", None), (4, "Chai Un", None, None, "Laon"),
+        (5, "Chai Un", None, "02002", "Laon"), (6, "Chai Un", "Jeanne Martin", "03000", "Laon"), (7, "Rucher Bleu", None, None, "Moulins"),
+    ], "listing_no int, name string, alt_name string, postcode string, city string").withColumns({c: F.lit(None).cast("string") for c in ("address", "siret", "lat", "lon")})
+    got = {r["l"]: (r["p"], r["outcome"]) for r in cascade.match(cascade.listing_side(listings), cascade.registry_side(pop)).collect()}
+    assert got == {1: ("11111111100011", "hit"), 2: ("22222222200022", "hit"), 3: ("33333333300033", "hit"), 4: (None, "reject"), 5: ("55555555500055", "hit"), 6: ("33333333300033", "hit")}
+
+
 def test_incremental(spark, tmp_path):
     from gristmill.streaming import incremental
 

@@ -40,8 +40,11 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _exports(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
-    """Rows of producteurs_export by siret with ranks and currency, and the fields that compete."""
+def _exports(spark: SparkSession, folder: str, alone: bool = False) -> tuple[DataFrame, dict]:
+    """Rows of producteurs_export by siret with ranks and currency, and the fields that compete.
+
+    With ``alone`` the rows without a usable siret are there too; column ``group`` is the siret, or theirs alone.
+    """
     sources = {"telephone_final": "source_telephone", "email_final": "source_email", "website_final": "source_website"}
     rows = table(spark, folder, "producteurs_export").withColumn("siret", contact.clean_siret(F.col("siret")))
     rows = rows.withColumn("version", F.regexp_extract(F.coalesce("export_version", F.lit("")), r"^(v\d+)", 1))
@@ -52,7 +55,11 @@ def _exports(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
         "email_final": contact.usable_email(F.col("email_final")) & ~F.coalesce(F.lower(contact.trimmed(F.col("email_statut"))) == "invalide", F.lit(False)),
         "website_final": contact.usable_website(F.col("website_final")),
     }
-    grouped = representative.with_currency(rows.filter("siret IS NOT NULL"), "siret", "exported_at", "export_no", ["version", "statut_sirene"])
+    if alone:
+        rows = rows.withColumn("group", F.coalesce("siret", F.concat(F.lit("#"), F.col("export_no"))))
+    else:
+        rows = rows.filter("siret IS NOT NULL")
+    grouped = representative.with_currency(rows, "group" if alone else "siret", "exported_at", "export_no", ["version", "statut_sirene"])
     return grouped, {f: (usable[f], F.col(f"_rank_{f}")) for f in sources}
 
 
@@ -63,10 +70,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    """One surviving row per siret, filled field by field."""
-    rows, fields = _exports(spark, folder)
+    """One surviving row per siret, filled field by field; a row without a usable siret stands alone (siret NULL)."""
+    rows, fields = _exports(spark, folder, alone=True)
     rest = ["raisonSociale", "gerant", "codeNAF", "adresse", "codePostal", "ville", "sous_segment", "productions", "statut_sirene"]
-    return representative.merged(rows, "siret", "export_no", fields, rest)
+    merged = representative.merged(rows, "group", "export_no", fields, rest)
+    return merged.withColumn("group", F.when(~F.startswith("group", F.lit("#")), F.col("group"))).withColumnRenamed("group", "siret")
 
 
 def p6_matches(spark: SparkSession, folder: str) -> DataFrame:

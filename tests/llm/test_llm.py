@@ -177,6 +177,20 @@ def test_index_recall_against_brute_force(spark):
     assert len(met) < 40 * 500
 
 
+def test_survivors_keep_rows_without_siret(spark, tmp_path):
+    from gristmill.llm import registry
+
+    data = [(1, "345 292 378 00014", "A"), (2, "34529237800014", "A"), (3, None, "B"), (4, "12", "C"), (5, "", "D")]
+    none = lambda *cs: {c: F.lit(None).cast("string") for c in cs}
+    df = spark.createDataFrame(data, "export_no bigint, siret string, raisonSociale string").withColumn("exported_at", F.lit("2025-01-01").cast("timestamp"))
+    df = df.withColumns(none("export_version", "telephone_final", "source_telephone", "email_final", "source_email", "email_statut", "website_final", "source_website", "gerant", "codeNAF", "adresse", "codePostal", "ville", "sous_segment", "productions", "statut_sirene"))
+    df.write.parquet(str(tmp_path / "producteurs_export.parquet"))
+    spark.createDataFrame([], "field string, source string, rank_hint int").write.parquet(str(tmp_path / "source_ranks.parquet"))
+    got = registry.p2_survivors(spark, str(tmp_path)).select("siret", "first_id", "n_rows", "raisonSociale")
+    assert rows(got) == sorted([("34529237800014", 1, 2, "A"), (None, 3, 1, "B"), (None, 4, 1, "C"), (None, 5, 1, "D")], key=str)
+    assert registry.p2_found(spark, str(tmp_path)).count() == 0
+
+
 def test_index_recall_does_not_fall_with_the_crowd(spark):
     """Slips and partial names without a way, in one town: few or many records there, the index finds them alike."""
     rng = random.Random(3)

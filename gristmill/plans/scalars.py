@@ -165,14 +165,19 @@ def grid_cells(spark: SparkSession, d: str) -> DataFrame:
     return points.groupBy(y.alias("y"), x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: First names up to this many are broadcast, more are joined by a shuffle.
+FEW_NAMES = 200_000
+
+
 @query()
 def parsed_people(spark: SparkSession, d: str) -> DataFrame:
     """Person's name read from a business name, with first names learned from the managers' column."""
     pop = table(spark, d, "population").select("siret", "raisonSociale", "gerant").distinct()
     first = F.upper(F.split(norm(F.col("gerant")), " ")[0])
-    gazetteer = pop.filter("gerant IS NOT NULL").groupBy(first.alias("w")).agg(F.count(F.lit(1)).alias("n")).filter("n >= 3 AND length(w) >= 3").orderBy(F.desc("n"), "w").limit(5000)
+    gazetteer = pop.filter("gerant IS NOT NULL").select(first.alias("w")).filter("length(w) >= 3").distinct()
+    few = gazetteer.limit(FEW_NAMES + 1).count() <= FEW_NAMES  # counted before it is broadcast
     words = pop.select("siret", "raisonSociale", F.explode(F.transform(names.person_tokens(F.col("raisonSociale")), lambda p: p["word"])).alias("w"))
-    hits = words.join(F.broadcast(gazetteer.select("w")), "w").groupBy("siret", "raisonSociale").agg(F.collect_set("w").alias("g"))  # at most 5,000 first names
+    hits = words.join(F.broadcast(gazetteer) if few else gazetteer, "w").groupBy("siret", "raisonSociale").agg(F.collect_set("w").alias("g"))
     named = hits.withColumn("x", names.parse_person(F.col("raisonSociale"), F.col("g")))
     return named.filter("x IS NOT NULL").select("siret", "x.first_name", "x.last_name").distinct()
 

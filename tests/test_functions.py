@@ -115,3 +115,13 @@ def test_words_and_addresses(column):
     check(column, words, [("L'Été <b>dehors</b> a@b.fr", ["ete", "dehors"]), ("", []), (None, None)])
     got = column(places.address_parts, ["12 bis av. de la Gare - 63370 X", "Lieu-dit Y", None])
     assert (got[0]["house"], got[0]["words"]) == ("12", ["AVENUE", "GARE"]) and got[1]["house"] is None
+
+
+def test_parsed_people_rare_first_name(spark, tmp_path, monkeypatch):
+    from gristmill.plans import scalars
+
+    pop = [("1", "Ferme Zéphirine Dupont", "Zéphirine Dupont"), ("2", "SARL Martin", "Al Martin"), ("3", "Bertrand Al", "Jean Paul")]
+    spark.createDataFrame(pop, "siret string, raisonSociale string, gerant string").write.parquet(str(tmp_path / "population.parquet"))
+    for most in (200_000, 0):
+        monkeypatch.setattr(scalars, "FEW_NAMES", most)
+        assert [tuple(r) for r in scalars.parsed_people(spark, str(tmp_path)).collect()] == [("1", "ZEPHIRINE", "DUPONT")]

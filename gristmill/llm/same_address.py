@@ -119,8 +119,9 @@ def locations(df: DataFrame, key: str, address: str, postcode: str, commune: str
     rows = resolve_communes(parsed(df, key, address, postcode, commune))
     rows = rows.filter("name <> '' AND (kind = 'PLACE_NAME' OR number <> '') AND (postcode <> '' OR commune <> '')")
     rows = cut_lineage(rows.withColumn("rep", F.xxhash64(*PARTS)))
-    written = rows.groupBy("name").agg(F.count(F.lit(1)).alias("written"))  # a slip is rare beside the name it is of
-    reps = cut_lineage(rows.groupBy("rep").agg(*[F.first(c).alias(c) for c in [*PARTS, "sounds"]]).join(written, "name"))
+    distinct = rows.groupBy("rep").agg(*[F.first(c).alias(c) for c in [*PARTS, "sounds"]])
+    written = distinct.groupBy("name").agg(F.count(F.lit(1)).alias("written"))  # a slip is rare beside the name it is of; by addresses, so rows held several times change nothing
+    reps = cut_lineage(distinct.join(written, "name"))
     place_key = lambda place, tag: F.when(F.col(place) != "", F.transform("sounds", lambda s: F.xxhash64(F.lit(tag), F.col(place), F.col("number"), s))).otherwise(F.array().cast("array<bigint>"))
     keyed = reps.withColumn("block", F.explode(F.array_distinct(F.concat(place_key("postcode", "p"), place_key("commune", "c")))))
     left = keyed.select("block", *[F.col(c).alias(f"a_{c}") for c in ["rep", "written", *PARTS]])

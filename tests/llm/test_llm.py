@@ -127,6 +127,17 @@ def test_components_against_union_find(spark):
     assert got == want
 
 
+def test_slip_links_however_often_rows_repeat(spark):
+    """A way name written 2 times links to one a letter away written 8 times; the same rows three times over give the same."""
+    data = [(k, f"{n} rue de {way}", "63370", "LEMPDES") for k, (n, way) in enumerate([(n, "Marguerite") for n in range(1, 9)] + [(1, "Margerite"), (2, "Margerite")])]
+    data += [(100 + k, f"{k} rue {w}", "63370", "LEMPDES") for w in ("Haute", "Neuve", "Basse") for k in range(1, 20)]
+    schema = "k string, a string, p string, c string"
+    once = same_address.locations(spark.createDataFrame([(str(k), *x) for k, *x in data], schema), "k", "a", "p", "c").collect()
+    thrice = same_address.locations(spark.createDataFrame([(str(1000 * j + k), *x) for j in range(3) for k, *x in data], schema), "k", "a", "p", "c").collect()
+    place, again = {r["key"]: r["location"] for r in once}, {r["key"]: r["location"] for r in thrice}
+    assert place["0"] == place["8"] and again["0"] == again["8"] and again["2000"] == again["1008"]
+
+
 def test_estimate_separates():
     patterns = np.array([[3, 3], [0, 0], [1, 3], [3, 0]])
     p = same_address.estimate(patterns, np.array([900.0, 2000.0, 60.0, 40.0]))

@@ -130,19 +130,29 @@ def pairs_within(build: tuple[np.ndarray, np.ndarray], probe: tuple[np.ndarray,
         yield who[near] + at, what[near], metres[near]
 
 
+def sample_points(points: DataFrame, most: int) -> pd.DataFrame:
+    """About ``most`` distinct points at the most, all of them where there are no more rows than that.
+
+    Rows are counted first and kept by a threshold on a hash of the point, so no partition sends more than its part.
+    """
+    n = points.count()
+    chosen = F.pmod(F.xxhash64("lat", "lon"), F.lit(1 << 30)) < F.lit(int((1 << 30) * most / max(n, 1)))
+    return (points if n <= most else points.filter(chosen)).select("lat", "lon").distinct().toPandas()
+
+
 def distance_join(probe: DataFrame, build: DataFrame, radius_m: float, sample_rows: int = 20_000, blocks: int = 8, leaves: int | None = None) -> DataFrame:
     """Every (probe row, build row) whose points lie within ``radius_m``, with ``distance_m``.
 
     Both sides carry DOUBLE columns ``lat`` and ``lon`` in degrees and any other columns under names that don't clash;
     rows with a NULL or NaN coordinate match nothing, repeated rows each give their pairs, an empty side gives none.
-    ``sample_rows`` bounds what reaches the driver (16 bytes a point). Not for regions across the 180th meridian.
+    ``sample_rows`` (half from each side) bounds what reaches the driver, 16 bytes a point. Not for regions across the 180th meridian.
     """
     spark = probe.sparkSession
     leaves = leaves or max(8, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     valid = "lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)"
     probe_points = probe.filter(valid).select("lat", "lon").distinct()
     build_points = build.filter(valid).select("lat", "lon").distinct()
-    sampled = build.filter(valid).select("lat", "lon").orderBy(F.xxhash64("lat", "lon")).limit(sample_rows).toPandas()
+    sampled = pd.concat([sample_points(side.filter(valid), sample_rows // 2) for side in (probe, build)])
     tree = Quadtree.build(sampled["lat"].to_numpy(), sampled["lon"].to_numpy(), leaves, radius_m)
 
     def to_leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,7 +178,8 @@ def distance_join(probe: DataFrame, build: DataFrame, radius_m: float, sample_ro
 
     def blocked(df: DataFrame, own: str, other: str) -> DataFrame:
         hot = F.col("leaf").isin(crowded) if crowded else F.lit(False)
-        df = df.withColumn(own, F.when(hot, F.pmod(F.xxhash64("lat", "lon"), F.lit(blocks))).otherwise(F.lit(0)))
+        # of one type on both sides: keys of different types hash to different partitions and never meet
+        df = df.withColumn(own, F.when(hot, F.pmod(F.xxhash64("lat", "lon"), F.lit(blocks))).otherwise(F.lit(0)).cast("int"))
         return df.withColumn(other, F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(blocks - 1))).otherwise(F.array(F.lit(0)))))
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -15,6 +15,18 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(params=["adaptive", "plain"])
+def plans(request, spark):
+    """Runs the test twice: adaptive execution merges small partitions into one, without it seven stay apart."""
+    names = {"spark.sql.adaptive.enabled": "true" if request.param == "adaptive" else "false", "spark.sql.shuffle.partitions": "4" if request.param == "adaptive" else "7"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture
 def one(spark):
     """Value of a Column function over one text."""

@@ -63,6 +63,26 @@ def test_drift(spark):
     assert wide.count() == raw.count() and wide.filter("address_line1 = 'a'").count() == 2
 
 
+@pytest.fixture(autouse=True)
+def under_both_plans(plans):
+    """Every operator here runs with adaptive execution and without."""
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_distance_join_needs_no_merged_partitions(spark, partitions):
+    """A result must not depend on groups that meet by chance in one partition."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    rng = np.random.default_rng(5)
+    a, b = (np.stack([45 + rng.random(1500) * 0.5, 3 + rng.random(1500) * 0.5], axis=1) for _ in range(2))
+    left = spark.createDataFrame([(k, *map(float, p)) for k, p in enumerate(a)], "a int, lat double, lon double")
+    right = spark.createDataFrame([(k, *map(float, p)) for k, p in enumerate(b)], "b int, lat double, lon double")
+    metres = haversine_np(a[:, None, 0], a[:, None, 1], b[None, :, 0], b[None, :, 1])
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(metres <= 500))}
+    for sample in (20_000, 100):
+        got = [(r["a"], r["b"]) for r in spatial.distance_join(left, right, 500.0, sample_rows=sample).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
 @pytest.mark.parametrize("n,m", [(0, 5), (5, 0), (400, 300)])
 def test_distance_join_against_brute_force(spark, n, m):
     rng = random.Random(n)

@@ -56,7 +56,7 @@ class FoldTable:
         if more:
             self.pool = np.concatenate([self.pool, np.array(more, dtype=np.int64)])
             for symbol in set(more):
-                self.solid[symbol] = chr(symbol).isalnum()
+                self.solid[symbol] = _solid(chr(symbol))
 
     def symbols(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All folded symbols, and the start and end of each row's."""
@@ -71,7 +71,7 @@ class FoldTable:
         out = self.pool[np.repeat(self.start[points], count) + within]
         row_end = before[np.cumsum(lengths)]
         row_start = np.concatenate([[0], row_end[:-1]])
-        if self.loose:  # marks before the first and after the last letter or digit don't count
+        if self.loose:  # marks before the first and after the last letter, accent or digit don't count
             solid = np.nonzero(self.solid[out])[0]
             a, b = np.searchsorted(solid, row_start), np.searchsorted(solid, row_end)
             some = b > a
@@ -132,11 +132,16 @@ def _skip_equal(a: str, b: str, loose: bool, memo: dict[tuple[str, bool], str])
             return True
 
 
+def _solid(mark: str) -> bool:
+    """Letters, digits and accents: an accent at the end counts, whether it came composed or not."""
+    return mark.isalnum() or unicodedata.combining(mark) != 0
+
+
 def _trim_marks(text: str) -> str:
     first, last = 0, len(text)
-    while first < last and not text[first].isalnum():
+    while first < last and not _solid(text[first]):
         first += 1
-    while last > first and not text[last - 1].isalnum():
+    while last > first and not _solid(text[last - 1]):
         last -= 1
     return text[first:last]
 

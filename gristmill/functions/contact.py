@@ -106,6 +106,16 @@ def clean_phone(c: Column) -> Column:
     return normalize_phone(F.when(text.rlike(r"^[1-9][0-9]{8}$"), F.concat(F.lit("0"), digits)).otherwise(text))
 
 
+#: A phone number in running text: national or international notation, pairs with at most one mark between, no digit
+#: or slash in front and no digit behind, so none is read out of a longer number (fixed value).
+PHONE_IN_TEXT = r"(?<![\d/])(?:\+33|0033|0)[\s.\-]?[1-9](?:[\s.\-]?\d{2}){4}(?!\d)"
+
+
+def phones_in_text(c: Column) -> Column:
+    """Distinct phone numbers of a text as ten national digits, sorted; identifiers and dates give none."""
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(F.regexp_extract_all(c, F.lit(PHONE_IN_TEXT), F.lit(0)), national_digits))))
+
+
 def is_premium(c: Column) -> Column:
     """Whether a phone number is premium-rate."""
     return F.coalesce(national_digits(c).rlike(PREMIUM), F.lit(False))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gristmill.functions.contact import clean_postal_code
 from gristmill.functions.text import let, norm
 
-LEAD_JUNK = r"^[\s\-–,;.]+|[\s\-,;.]+$"
+#: Welded codes are told from free ones by this mark behind them while a cell is read; no cell holds it.
+WELD = "\x1f"
+CODE = rf"^\d{{5}}{WELD}?$"
 
 
 def department(postcode: Column) -> Column:
@@ -17,48 +19,65 @@ def department(postcode: Column) -> Column:
     return let(clean_postal_code(postcode), named)
 
 
-def tidy(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, LEAD_JUNK, ""), r"\s{2,}", " ")
-
-
 def repair_town(postcode: Column, town: Column) -> Column:
     """STRUCT(postcode, town, changed) of a pair of cells whose parts slipped into each other.
 
-    A street, a dash and a postcode welded to the town give both, whatever the postcode cell holds. Else a postcode
-    in brackets behind the town, welded to it or standing in it is taken out (and used where the cell has none), so is
-    a phone number behind it and a second copy of the town. A cell is never emptied.
+    The town cell is read as a row of words: codes (free, welded to the next word, or in brackets), dashes, numbers and
+    names. What stands behind a dash and a welded code is the town and its code, whatever the postcode cell holds.
+    Else a phone number at the end goes, then a bracketed code, and of what is left an unusable postcode cell takes the
+    first code with the words behind it, while a usable one only drops its own code in front and a second copy of the
+    town behind a code. NULL counts as empty; a cell is never emptied.
     """
-    return let(F.struct(F.trim(F.coalesce(postcode, F.lit(""))).alias("code"), F.trim(F.coalesce(town, F.lit(""))).alias("name")), _repaired)
-
-
-SHIFTED = r"^.*\S\s+[-–]\s*(\d{5})([A-Za-zÀ-ÿ].*)$"
-WELDED = r"^.*?(\d{5})\s*([A-Za-zÀ-ÿ].*)$"
-LONE = r"(?<!\d)(\d{5})(?!\d)"
-TWICE = r"^(.+?)\s+\d{5}\s+(.+)$"
-PHONE_BEHIND = r"(?i)(\bt[eé]l\b|\bt\b)?\s*0[\d\s./-]{8,}\d\s*$"
-
-
-def _repaired(cells: Column) -> Column:
-    code, name = cells["code"], cells["name"]
-    fine, is_shift = code.rlike(r"^\d{5}$"), name.rlike(SHIFTED)
-    bracket = F.regexp_extract(name, r"\((\d{5})\)\s*$", 1)
-
-    def placed(bare: Column) -> Column:
-        """STRUCT(code, town): the postcode found and the town without it."""
-        welded, loose = ~fine & bare.rlike(WELDED), ~fine & bare.rlike(LONE)
-        found = F.when(fine, code).when(welded, F.regexp_extract(bare, WELDED, 1)).when(loose, F.regexp_extract(bare, LONE, 1)).when(bracket != "", bracket)
-        town = F.when(welded, F.regexp_extract(bare, WELDED, 2)).when(loose, F.regexp_replace(bare, LONE, " ")).otherwise(bare)
-        return F.struct(found.alias("code"), F.ltrim(town).alias("town"))
-
-    def cleaned(x: Column) -> Column:
-        own = F.when(F.startswith(x["town"], x["code"]), F.substr(x["town"], F.lit(6))).otherwise(x["town"])
-        short = let(own, lambda t: let(F.regexp_replace(t, PHONE_BEHIND, ""), lambda u: tidy(F.when(F.trim(u) != "", u).otherwise(t))))
-        once = let(short, lambda t: tidy(F.when(t.rlike(TWICE) & (F.lower(F.regexp_extract(t, TWICE, 1)) == F.lower(F.regexp_extract(t, TWICE, 2))), F.regexp_extract(t, TWICE, 1)).otherwise(t)))
-        return let(once, lambda t: F.struct(x["code"].alias("postcode"), F.when(t != "", t).otherwise(name).alias("town")))
-
-    moved = F.struct(F.regexp_extract(name, SHIFTED, 1).alias("postcode"), tidy(F.regexp_extract(name, SHIFTED, 2)).alias("town"))
-    settled = F.when(is_shift, moved).otherwise(let(let(F.regexp_replace(name, r"\s*\(\d{5}\)\s*$", ""), placed), cleaned))
-    return let(settled, lambda x: F.struct(x["postcode"].alias("postcode"), x["town"].alias("town"), ((F.coalesce(x["postcode"], F.lit("")) != code) | (x["town"] != name)).alias("changed")))
+    cells = F.struct(F.trim(F.coalesce(postcode, F.lit(""))).alias("code"), F.trim(F.coalesce(town, F.lit(""))).alias("name"))
+    return let(cells, lambda c: let(let(_cell_words(c["name"]), lambda w: _read_cell(c["code"], w)), lambda x: _told(c, x)))
+
+
+def _cell_words(name: Column) -> Column:
+    """Words of a town cell, welded codes marked and cut off, brackets free, without a phone number at the end."""
+    marked = F.regexp_replace(F.regexp_replace(name, r"(?<!\d)(\d{5})(?=\p{L})", f"$1{WELD} "), r"\((\d{5})\)", " ($1)")
+
+    def shortened(words: Column) -> Column:
+        numeric = F.transform(F.reverse(words), lambda w: w.rlike(r"^[\d./-]+$"))
+        behind = F.coalesce(F.nullif(F.array_position(numeric, F.lit(False)), F.lit(0)) - 1, F.lit(0)).cast("int")  # numbers at the end; a cell of numbers alone keeps them
+        digits = F.regexp_replace(F.array_join(F.slice(words, F.size(words) - behind + 1, behind), ""), r"\D", "")
+        kept = F.when(digits.rlike(r"^0\d{9,}$"), F.slice(words, F.lit(1), F.size(words) - behind)).otherwise(words)
+        label = (F.size(kept) < F.size(words)) & (F.size(kept) > 1) & F.lower(F.element_at(kept, -1)).rlike("^(t|tel|tél)[.:]?$")
+        return F.when(label, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+
+    return let(F.split(F.trim(marked), r"\s+"), shortened)
+
+
+def _read_cell(code: Column, words: Column) -> Column:
+    """STRUCT(postcode, words): what the two cells say together."""
+    usable, first_true = code.rlike(r"^\d{5}$"), lambda flags: F.array_position(flags, F.lit(True)).cast("int")
+    behind = lambda w, k: F.slice(w, k + 1, F.size(w))
+    said = lambda c, w: F.struct(F.replace(c, F.lit(WELD), F.lit("")).alias("postcode"), w.alias("words"))
+    shifted = first_true(F.transform(words, lambda w, i: w.endswith(WELD) & (i >= 2) & F.get(words, i - 1).isin("-", "–")))
+    bracketed = F.element_at(words, -1).rlike(r"^\(\d{5}\)$") & (F.size(words) > 1)
+    bare = F.when(bracketed, F.slice(words, F.lit(1), F.size(words) - 1)).otherwise(words)
+
+    def unaided(w: Column, k: Column) -> Column:
+        """The postcode cell is no help: the first code, and the words behind it if a name starts there."""
+        names_follow = F.coalesce(F.get(w, k).rlike(r"^\p{L}"), F.lit(False))
+        others = F.when(names_follow, behind(w, k)).otherwise(F.concat(F.slice(w, F.lit(1), F.greatest(k - 1, F.lit(0))), behind(w, k)))
+        return F.when(k > 0, said(F.get(w, k - 1), others)).otherwise(said(F.when(bracketed, F.substring(F.element_at(words, -1), 2, 5)), w))
+
+    def aided(w: Column, k: Column) -> Column:
+        """The postcode cell stands: its own code in front and a twin of the town behind a code go."""
+        before, after = F.slice(w, F.lit(1), F.greatest(k - 1, F.lit(0))), behind(w, k)
+        twin = (k > 1) & (F.lower(F.array_join(before, " ")) == F.lower(F.array_join(after, " ")))
+        own = (k == 1) & (F.replace(F.get(w, F.lit(0)), F.lit(WELD), F.lit("")) == code)
+        return said(code, F.when(twin, before).when(own, after).otherwise(w))
+
+    rest = let(bare, lambda w: let(first_true(F.transform(w, lambda x: x.rlike(CODE))), lambda k: F.when(usable, aided(w, k)).otherwise(unaided(w, k))))
+    return F.when(shifted > 0, said(F.get(words, shifted - 1), behind(words, shifted))).otherwise(rest)
+
+
+def _told(cells: Column, x: Column) -> Column:
+    """STRUCT(postcode, town, changed) from the words that are left, outer marks off, welds that stay closed again."""
+    town = F.regexp_replace(F.replace(F.array_join(x["words"], " "), F.lit(f"{WELD} "), F.lit("")), r"^[\s\-–,;.]+|[\s\-,;.]+$", "")
+    filled = F.coalesce(F.nullif(town, F.lit("")), cells["name"])
+    return let(filled, lambda t: F.struct(x["postcode"].alias("postcode"), t.alias("town"), ((F.coalesce(x["postcode"], F.lit("")) != cells["code"]) | (t != cells["name"])).alias("changed")))
 
 
 def strip_postcode_town(c: Column) -> Column:

@@ -68,17 +68,30 @@ def email_extract(spark: SparkSession, d: str) -> DataFrame:
     return found.select("export_no", F.size("e").cast("bigint").alias("n_emails"), F.array_join("e", "|").alias("emails"))
 
 
-PHONE = r"0[1-9](?:[ .\-]?[0-9]{2}){4}"
+#: No look-around in this dialect: every mark is doubled first, so a number may end on one copy and the next begin behind the other.
+PHONE_SQL = """WITH t AS (SELECT doc_id, regexp_replace(text, '([^0-9])', '\\1\\1', 'g') AS t FROM documents),
+f AS (SELECT doc_id, unnest(regexp_extract_all(t, '(?:^|[^0-9/])((?:[+][+]33|0033|0)(?:[\\s.-]{2})?[1-9](?:(?:[\\s.-]{2})?[0-9]{2}){4})(?:$|[^0-9])', 1)) AS p FROM t),
+d AS (SELECT DISTINCT doc_id, '0' || right(regexp_replace(p, '[^0-9]', '', 'g'), 9) AS p FROM f)
+SELECT doc_id, string_agg(p, '|' ORDER BY p) AS phones FROM d GROUP BY doc_id"""
 
 
-@query(f"""SELECT doc_id, list_aggregate(list_sort(p), 'string_agg', '|') AS phones FROM (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(text, '{PHONE}'), lambda x: regexp_replace(x, '[^0-9]', '', 'g'))) AS p FROM documents) WHERE len(p) > 0""")
+@query(PHONE_SQL)
 def phone_extract(spark: SparkSession, d: str) -> DataFrame:
     """Phone numbers standing in documents."""
-    runs = F.regexp_extract_all("text", F.lit(PHONE), F.lit(0))
-    got = table(spark, d, "documents").select("doc_id", F.array_sort(F.array_distinct(F.transform(runs, lambda x: F.regexp_replace(x, "[^0-9]", "")))).alias("p"))
+    got = table(spark, d, "documents").select("doc_id", contact.phones_in_text(F.col("text")).alias("p"))
     return got.filter(F.size("p") > 0).select("doc_id", F.array_join("p", "|").alias("phones"))
 
 
+PHONE_CASES = ["SIRET 30819741700014", "SIRET 13000556789012 RCS", "Tel: 04.91.12.34.56 ou +33 4 91 12 34 56", "du 01 02 2026 au 03 04 2026", "0891 67 20 00 et 0033491123456", "fax 12/0491123456", "04 91 12 34 56 06 12 34 56 78", ""]
+
+
+@query("""SELECT * FROM (VALUES (0, ''), (1, ''), (2, '0491123456'), (3, ''), (4, '0491123456|0891672000'), (5, ''), (6, '0491123456|0612345678'), (7, '')) AS t(case_no, phones)""")
+def phone_extract_cases(spark: SparkSession, d: str) -> DataFrame:
+    """The cases a phone pattern is judged by: identifiers, dates, two notations of one number, neighbours."""
+    cases = spark.createDataFrame(list(enumerate(PHONE_CASES)), "case_no int, text string")
+    return cases.select("case_no", F.array_join(contact.phones_in_text(F.col("text")), "|").alias("phones"))
+
+
 HOST_SQL = """nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim({c})), '^[a-z][a-z0-9+.\\-]*://', ''), '[/?#].*$', ''), '^.*@', ''), ':\\d*$', ''), '^www\\.', ''), '')"""
 
 

@@ -33,10 +33,12 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where that setting is absent (tests, a laptop) a temporary folder."""
+    """The session's ``spark.checkpoint.dir``; where it is unset, a temporary folder if all runs on this machine, else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that every executor reaches")
     if not hasattr(spark.sparkContext, "_gristmill_folder"):
         spark.sparkContext._gristmill_folder = tempfile.mkdtemp(prefix="gristmill-")
     return spark.sparkContext._gristmill_folder

@@ -38,6 +38,11 @@ def test_phones(column):
     check(column, contact.is_premium, [("0891000000", True), ("0820000000", True), ("+33 891 00 00 00", True), ("0800000000", False), ("0600000000", False), (None, False)])
 
 
+def test_phones_in_text(column):
+    check(column, contact.phones_in_text, [("Appelez le 04 91 12 34 56 !", ["0491123456"]), ('<a href="tel:+33491123456">', ["0491123456"]), ("SIRET 13000556789012 RCS Marseille", []), ("SIRET 30819741700014", []), ("Tél: 04.91.12.34.56 ou +33 4 91 12 34 56", ["0491123456"]),
+                                          ("du 01 02 2026 au 03 04 2026", []), ("Service client 0891 67 20 00", ["0891672000"]), ("", []), (None, None)])
+
+
 def test_naf(column):
     check(column, contact.clean_naf, [("4711D", "47.11D"), (" 55.20z ", "55.20Z"), ("011A", "01.1A"), ("47-11C", "47.11C"), ("word", None), (None, None)])
 
@@ -63,10 +68,11 @@ def test_email_repair(column):
 
 def test_email_extract(column):
     check(column, emails.extract, [("Write to A@B.fr, or c [at] d [dot] com; logo@2x.png noreply@b.fr", ["a@b.fr", "c@d.com"]), ("u003emarius@x.fr", ["marius@x.fr"]), ("none", []), (None, None)])
+    check(column, emails.extract, [("a (at) b.fr", []), ("jean at ferme dot fr", ["jean@ferme.fr"]), ("x@cdn.sentry-next.wixpress.com", []), ("(a@b.fr).", ["a@b.fr"]), ("x&#64;y(dot)net", ["x@y.net"]), ("é" * 3000, [])])
 
 
 def test_third_party_and_ownership(column):
-    check(column, emails.is_third_party, [(("a@gmail.com", "x.example"), False), (("a@www.x.example", "x.example"), False), (("a@y.example", "x.example"), True)])
+    check(column, emails.is_third_party, [(("a@gmail.com", "x.example"), False), (("a@www.x.example", "x.example"), False), (("a@y.example", "x.example"), True), (("a@proton.me", "x.example"), False), (("a@msn.com", "x.example"), False)])
     own = lambda e, n: emails.belongs_to(e, n, ["FERME", "SARL"])
     check(column, own, [(("info@becfin.fr", "AU BEC FIN"), True), (("dupont@x.fr", "SARL Dupont"), True), (("contact@ferme.fr", "La Ferme"), False), (("a@b.fr", None), False)])
 
@@ -94,6 +100,7 @@ def test_town_repair(column):
              (("29250", "29250 SANTEC"), ("29250", "SANTEC")), (("17400", "17400  LA BENATE"), ("17400", "LA BENATE")), (("33520", "BRUGES (33520)"), ("33520", "BRUGES")), (("59260", "HELLEMMES LILLE (59260)"), ("59260", "HELLEMMES LILLE")),
              (("02290", "AMBLENY 02290 AMBLENY"), ("02290", "AMBLENY")), (("36   ", "Azay le Ferron"), (None, "Azay le Ferron")), (("0    ", "Chamoy"), (None, "Chamoy")), (("01027", "Rue De Lille - 59560Comines"), ("59560", "Comines")),
              (("59000", "LILLE"), None), (("75000", "PARIS"), None)]
+    cases += [(("59000", "59650Villeneuve"), None), ((None, "59650"), ("59650", "59650")), (("x", "LILLE (59000)"), ("59000", "LILLE")), (("59000", "0612345678"), None), (("59000", ""), None), (("", "Rue X 59000 LILLE tél. 03 20 12 34 56"), ("59000", "LILLE")), (("2", "LILLE 59000"), ("59000", "LILLE"))]
     got = column(places.repair_town, [c[0] for c in cases])
     assert [(g["postcode"], g["town"]) if g["changed"] else None for g in got] == [c[1] for c in cases]
 

@@ -138,10 +138,12 @@ def near(a: str, b: str, most: int = 1) -> bool:
         return True
     if abs(len(a) - len(b)) > most:
         return False
-    while a and b and a[0] == b[0]:
-        a, b = a[1:], b[1:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+    short, head, tail = min(len(a), len(b)), 0, 0
+    while head < short and a[head] == b[head]:
+        head += 1
+    while tail < short - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
     if most <= 0 or not (a or b):
         return not (a or b)
     if len(a) >= 2 and len(b) >= 2 and a[0] == b[1] and a[1] == b[0] and near(a[2:], b[2:], most - 1):

@@ -206,12 +206,12 @@ def test_index_recall_does_not_fall_with_the_crowd(spark, monkeypatch, whole, ch
     """Slips and partial names without a way, in one town: few or many records there, one block, chunks or cut by hyperplanes and exact keys, the index finds them alike."""
     real = entity_match.blocks_of
 
-    def small(records, model):  # the bounds are read in the workers
+    def small(records, model, names_alone):  # the bounds are read in the workers
         def set_bounds(batches):
             entity_match.WHOLE, entity_match.CHUNK = whole, chunk
             yield from batches
 
-        return real(records.mapInArrow(set_bounds, records.schema), model)
+        return real(records.mapInArrow(set_bounds, records.schema), model, names_alone)
 
     monkeypatch.setattr(entity_match, "blocks_of", small)
     rng = random.Random(3)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.names import array_jaccard, trigrams
+from gristmill.session import cut_lineage
 
 
 def exact_key(df: DataFrame, id_col: str, keys: list[Column], identifier: str, order: list[Column]) -> DataFrame:
@@ -26,26 +27,53 @@ def exact_key(df: DataFrame, id_col: str, keys: list[Column], identifier: str, o
     return joined.filter(same).select(F.col(id_col), F.col("s.id").alias("survivor"), "members")
 
 
-def similar_pairs(df: DataFrame, id_col: str, text: Column, blocks: list[str], least: float) -> DataFrame:
-    """(id_a, id_b, similarity) of rows of one block whose trigram similarity is at least ``least``.
+#: Counts of trigrams are kept by a hash of this many values: what orders them by rarity, whatever the data's size.
+GRAM_HASHES = 1 << 16
 
-    Prefix filter: with trigrams ordered by how rare they are, two sets that similar share one of the first
-    n - ceil(least * n) + 1 of either; rows meet only where they do, so no pair is lost and a block that holds a third
-    of all rows isn't squared. Rows without trigrams or with a NULL block match nothing.
+
+def _by_rarity(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``grams`` in one order for all of them, the rarest first."""
+    slot = lambda g: F.pmod(F.xxhash64(g), F.lit(GRAM_HASHES)).cast("int")
+    counted = rows.select(F.explode("grams").alias("g")).groupBy(slot(F.col("g")).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()  # GRAM_HASHES rows at most
+    counts = [0] * GRAM_HASHES
+    for r in counted:
+        counts[r["slot"]] = r["n"]
+    table = F.split(F.lit(",".join(map(str, counts))), ",").cast("array<bigint>")  # one constant of the plan
+    ranked = F.transform("grams", lambda g: F.struct(F.element_at(table, slot(g) + 1).alias("n"), F.xxhash64(g).alias("h"), g.alias("g")))
+    return rows.withColumn("grams", F.transform(F.array_sort(ranked), lambda x: x["g"]))
+
+
+def similar_pairs(df: DataFrame, id_col: str, text: Column, blocks: list[str], least: float, hot_from: int = 2_000) -> DataFrame:
+    """(id_a, id_b, similarity) of rows of one block whose trigram similarity is at least ``least``, id_a < id_b.
+
+    Rows of equal trigrams are copies: the least id stands for them, each copy is linked to it (similarity 1), and only
+    these representatives are compared, so n copies give n - 1 links. Prefix filter: with trigrams ordered from the
+    rarest on, two sets that similar share one of the first n - ceil(least * n) + 1 of either; ids meet only there,
+    where their sizes and the places of the shared trigram still allow it. The sets themselves join the pairs that are
+    left. A trigram of more than ``hot_from`` representatives of a block is salted. No pair of different texts is lost.
+    Rows without trigrams or with a NULL block match nothing; repeated ids count once.
     """
-    rows = df.select(F.col(id_col).alias("id"), *blocks, trigrams(text).alias("grams")).filter(F.size("grams") > 0)
-    for b in blocks:
+    rows = df.select(F.col(id_col).alias("id"), *[F.col(b).alias(f"b{k}") for k, b in enumerate(blocks)], F.array_sort(trigrams(text)).alias("grams")).filter(F.size("grams") > 0)
+    block = [f"b{k}" for k in range(len(blocks))]
+    for b in block:
         rows = rows.filter(F.col(b).isNotNull())
-    # a text's own hash order is global too, and needs no dictionary of trigrams
-    rows = rows.withColumn("grams", F.transform(F.array_sort(F.transform("grams", lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))), lambda x: x["g"]))
+    rows = cut_lineage(rows.withColumn("same", F.xxhash64(*block, "grams")))
+    firsts = cut_lineage(_by_rarity(rows.groupBy("same", *block, "grams").agg(F.min("id").alias("id")).drop("same")))
+    own = firsts.select(F.col("id").alias("id_a"), *block, F.array_sort("grams").alias("grams"))
+    copies = rows.join(own.withColumn("same", F.xxhash64(*block, "grams")), ["same", *block, "grams"]).filter("id <> id_a").select("id_a", F.col("id").alias("id_b"), F.lit(1.0).alias("similarity")).distinct()
     length = F.size("grams") - F.ceil(F.size("grams") * F.lit(least)).cast("int") + 1
-    keyed = rows.withColumn("gram", F.explode(F.slice("grams", 1, length)))
-    a = keyed.select(F.col("id").alias("id_a"), F.col("grams").alias("grams_a"), *blocks, "gram")
-    b = keyed.select(F.col("id").alias("id_b"), F.col("grams").alias("grams_b"), *blocks, "gram")
-    met = a.join(b, [*blocks, "gram"]).filter("id_a < id_b")
-    short = F.least(F.size("grams_a"), F.size("grams_b")) >= F.greatest(F.size("grams_a"), F.size("grams_b")) * least
-    scored = met.filter(short).withColumn("similarity", array_jaccard(F.col("grams_a"), F.col("grams_b")))
-    return scored.filter(F.col("similarity") >= least).select("id_a", "id_b", "similarity").dropDuplicates(["id_a", "id_b"])
+    keyed = firsts.select("id", *block, F.size("grams").alias("n"), F.posexplode(F.slice("grams", 1, length)).alias("at", "gram"))
+    salts = keyed.groupBy(*block, "gram").agg(F.ceil(F.count(F.lit(1)) / hot_from).cast("int").alias("salts")).filter("salts > 1")
+    salted = keyed.join(salts, [*block, "gram"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    a = salted.select(F.col("id").alias("id_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), *block, "gram", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"))
+    b = salted.select(F.col("id").alias("id_b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), *block, "gram", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    enough = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(least / (1 + least)) - 1e-9)
+    reachable = (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= enough) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)
+    met = a.join(b, [*block, "gram", "salt"]).filter((F.col("id_a") < F.col("id_b")) & reachable).select("id_a", "id_b").distinct()
+    sets = firsts.select("id", "grams")
+    both = met.join(sets.toDF("id_a", "grams_a"), "id_a").join(sets.toDF("id_b", "grams_b"), "id_b")
+    scored = both.withColumn("similarity", array_jaccard(F.col("grams_a"), F.col("grams_b"))).filter(F.col("similarity") >= least)
+    return scored.select("id_a", "id_b", "similarity").unionByName(copies)
 
 
 def mark(df: DataFrame, id_col: str, passes: list[DataFrame]) -> DataFrame:

@@ -125,10 +125,14 @@ def test_similar_pairs_against_brute_force(spark):
     from gristmill.functions.names import trigrams
 
     df = spark.createDataFrame(data, "id int, n string, b string")
-    sets = {r["id"]: (set(r["g"]), r["b"]) for r in df.select("id", "b", trigrams(F.col("n")).alias("g")).collect()}
-    want = {(i, j) for i in sets for j in sets if i < j and sets[i][1] == sets[j][1] and len(sets[i][0] & sets[j][0]) / len(sets[i][0] | sets[j][0]) >= 0.7}
-    got = [(r[0], r[1]) for r in dedup.similar_pairs(df, "id", F.col("n"), ["b"], 0.7).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
+    sets = {r["id"]: (frozenset(r["g"]), r["b"]) for r in df.select("id", "b", trigrams(F.col("n")).alias("g")).collect()}
+    first = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    want = {(i, j) for i in set(first.values()) for j in set(first.values()) if i < j and sets[i][1] == sets[j][1] and len(sets[i][0] & sets[j][0]) / len(sets[i][0] | sets[j][0]) >= 0.7}
+    want |= {(first[i], i) for i in sets if first[i] != i}  # copies are linked to the first of them
+    for hot_from in (2_000, 3):
+        got = [(r[0], r[1]) for r in dedup.similar_pairs(df, "id", F.col("n"), ["b"], 0.7, hot_from).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert dedup.similar_pairs(df.limit(0), "id", F.col("n"), ["b"], 0.7).count() == 0
 
 
 def test_claims(spark):
@@ -186,7 +190,22 @@ def test_cascade(spark):
         (4, "Domaine Vert", None, "01000", None, None, None), (5, "Inconnu", "5 rue Neuve", "02000", None, None, None), (6, "rien", None, None, None, None, None), (8, "Zzz", "7 r Tri", "03000", None, None, None), (7, None, None, None, "33333333399999", None, None),
     ], "listing_no int, name string, address string, postcode string, siret string, lat string, lon string")
     got = {r["l"]: (r["p"], r["rung"], r["outcome"]) for r in cascade.match(cascade.listing_side(listings), cascade.registry_side(pop)).collect()}
-    assert got == {1: ("11111111100011", "siret_exact", "hit"), 2: ("22222222200022", "geo", "hit"), 3: ("33333333300033", "addr_street", "hit"), 4: ("33333333300033", "name_place", "hit"), 5: (None, "addr_street", "reject"), 7: ("33333333300033", "siren_unique", "hit"), 8: ("77777777700077", "addr_street", "hit")}
+    assert got == {1: ("11111111100011", "siret_exact", "hit"), 2: ("22222222200022", "geo_name", "hit"), 3: ("33333333300033", "addr_street", "hit"), 4: ("33333333300033", "name_exact", "hit"), 5: (None, "addr_recent", "reject"), 7: ("33333333300033", "siren_unique", "hit"), 8: ("77777777700077", "addr_recent", "hit")}
+
+
+def test_cascade_pools_and_winners(spark):
+    pop = spark.createDataFrame([
+        ("11111111100011", "Ferme Un", "63370", "Ville", "45.0", "3.0"), ("22222222200022", "Ferme Deux", "63000", "Autre", "45.0001", "3.0"), ("33333333300033", "Ferme Un", "63370", "Ville", "45.00002", "3.0"), ("44444444400044", "Seul", "01000", "Loin", "46.0", "4.0"),
+    ], "siret string, raisonSociale string, codePostal string, ville string, lat string, lon string").withColumn("adresse", F.lit(None).cast("string"))
+    listings = spark.createDataFrame([
+        (1, "Ferme Deux", "63370", "Autre", "45.0", "3.0"), (2, "Ferme Un", None, "Ville", "45.0", "3.0"), (3, "x", None, "Inconnue", "46.0", "4.0"), (4, "Seul", None, "Loin", "46.0", "4.0"), (4, "Seul", None, "Loin", "46.0", "4.0"), (5, "Ferme Deux", None, "Ville", "45.0001", "3.0"),
+    ], "listing_no int, name string, postcode string, city string, lat string, lon string").withColumns({c: F.lit(None).cast("string") for c in ("address", "siret")})
+    matched = cascade.match(cascade.listing_side(listings), cascade.registry_side(pop))
+    got = {r["l"]: (r["p"], r["rung"], r["reason"]) for r in matched.collect()}
+    assert got == {1: ("22222222200022", "geo_name", None), 2: (None, "geo_name", "several_near"), 3: ("44444444400044", "geo_only", None), 4: ("44444444400044", "geo_name", None), 5: (None, "geo_only", "several_near")}
+    sources = spark.createDataFrame([(1, "a"), (3, "a"), (4, "a"), (4, "a"), (2, "b")], "l int, source string")
+    assert rows(cascade.winners(matched, sources)) == [("22222222200022", "a", 1, "geo_name", 0), ("44444444400044", "a", 3, "geo_only", 1)]
+    assert cascade.match(cascade.listing_side(listings.limit(0)), cascade.registry_side(pop)).count() == 0
 
 
 def test_cascade_second_names_and_commune(spark):

@@ -253,6 +253,14 @@ def _soft(a, b, space):
     return shared / max(wa + wb - shared, 1e-9), min(1.0, shared / max(min(wa, wb), 1e-9))
 
 
+@given(st.lists(st.text(alphabet="ABC", max_size=8), min_size=1, max_size=8), st.integers(1, 2))
+@settings(max_examples=300, deadline=None)
+def test_close_against_near(texts, most):
+    texts = texts + ["A" * 70, "A" * 69 + "B"]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    assert entity_match.close(texts, a, b, most, together=7).tolist() == [near(texts[i], texts[j], most) for i, j in zip(a, b)]
+
+
 def test_block_against_pair_by_pair():
     """Every pair of a block that shares the better part of a name, an address or an identifier is found, with the overlap a plain loop gives."""
     rng = random.Random(8)

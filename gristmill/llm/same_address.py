@@ -2,10 +2,11 @@
 
 Addresses are taken apart, distinct ones kept once. Candidates share a postcode or a commune, the number, and how the
 start or the end of the way's name sounds. Each pair gets an agreement level for postcode, commune, kind of way,
-suffix and name, a missing value being a level of its own. The counts of level patterns (a few hundred, whatever the
-data's size) go to the driver, where expectation-maximization estimates how likely each level is among pairs of one
-place and of two; a pair is linked where the weights say so and no part contradicts. Linked addresses are closed into
-sets.
+suffix and name, a missing value being a level of its own; a name a letter away has two levels, by how rare the rarer
+spelling is. The counts of level patterns (a few hundred, whatever the data's size) go to the driver, where
+expectation-maximization estimates how likely each level is among pairs of one place and of two, and a pair is linked
+where these weights say so. Parts that contradict each other (another kind of way, another postcode) settle a pair as
+two places before, and teach the estimate what such pairs look like. Linked addresses are closed into sets.
 """
 
 from __future__ import annotations
@@ -23,6 +24,14 @@ from gristmill.session import cut_lineage
 
 PARTS = ["number", "suffix", "kind", "name", "postcode", "commune"]
 LEVELS = ["postcode_level", "commune_level", "kind_level", "suffix_level", "name_level"]
+#: Highest level of each, and which of them are contradictions where they are 0.
+TOP = [3, 3, 3, 1, 5]
+CONTRADICTING = [0, 1, 2, 3, 4]
+#: A spelling is rare where it is written at most this often for each time the other is, or for each time a usual name is
+#: (once in any case).
+RARE, RARE_ALONE = 0.35, 0.1
+#: What is believed before any pair is seen counts as so many pairs: a share of one place, and more agreement there.
+PRIOR, PRIOR_SHARE = 1.0, 0.3
 
 
 def parsed(df: DataFrame, key: str, address: str, postcode: str, commune: str) -> DataFrame:
@@ -91,21 +100,26 @@ def level(a: str, b: str, near: Column | None = None) -> Column:
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Probability that a pair of each pattern is one place: two latent classes, levels independent within each."""
+    """Probability that a pair of each pattern is one place: two latent classes, levels independent within each.
+
+    Patterns with a contradiction are of the second class from the start and stay there: from them is known how often
+    two places agree in their other parts.
+    """
     if not len(counts):
         return np.zeros(0)
-    sizes = [int(patterns[:, k].max()) + 1 for k in range(patterns.shape[1])]
-    share = 0.3
-    rising = [np.arange(1, s + 1, dtype=float) for s in sizes]
-    m, u = [r / r.sum() for r in rising], [r[::-1] / r.sum() for r in rising]
+    sizes = [max(int(patterns[:, k].max()), TOP[k] if k < len(TOP) else 0) + 1 for k in range(patterns.shape[1])]
+    against = (patterns[:, [k for k in CONTRADICTING if k < len(sizes)]] == 0).any(axis=1) if patterns.shape[1] == len(LEVELS) else np.zeros(len(counts), dtype=bool)
+    rising = [np.arange(1, s + 1, dtype=float) ** 3 for s in sizes]
+    m0, u0 = [r / r.sum() for r in rising], [r[::-1] / r.sum() for r in rising]
+    share, m, u = PRIOR_SHARE, list(m0), list(u0)
     for _ in range(rounds):
         a = np.log(share) + sum(np.log(m[k][patterns[:, k]]) for k in range(len(sizes)))
         b = np.log(1 - share) + sum(np.log(u[k][patterns[:, k]]) for k in range(len(sizes)))
-        p = 1 / (1 + np.exp(np.clip(b - a, -500, 500)))
-        share = float(np.clip((p * counts).sum() / counts.sum(), 1e-6, 1 - 1e-6))
+        p = np.where(against, 0.0, 1 / (1 + np.exp(np.clip(b - a, -500, 500))))
+        share = float(((p * counts).sum() + PRIOR * PRIOR_SHARE) / (counts.sum() + PRIOR))
         for k, s in enumerate(sizes):
-            hit = np.bincount(patterns[:, k], weights=p * counts, minlength=s) + 0.5
-            miss = np.bincount(patterns[:, k], weights=(1 - p) * counts, minlength=s) + 0.5
+            hit = np.bincount(patterns[:, k], weights=p * counts, minlength=s) + PRIOR * m0[k]
+            miss = np.bincount(patterns[:, k], weights=(1 - p) * counts, minlength=s) + PRIOR * u0[k]
             m[k], u[k] = hit / hit.sum(), miss / miss.sum()
     return p
 
@@ -119,9 +133,10 @@ def locations(df: DataFrame, key: str, address: str, postcode: str, commune: str
     rows = resolve_communes(parsed(df, key, address, postcode, commune))
     rows = rows.filter("name <> '' AND (kind = 'PLACE_NAME' OR number <> '') AND (postcode <> '' OR commune <> '')")
     rows = cut_lineage(rows.withColumn("rep", F.xxhash64(*PARTS)))
-    distinct = rows.groupBy("rep").agg(*[F.first(c).alias(c) for c in [*PARTS, "sounds"]])
+    distinct = rows.groupBy("rep").agg(*[F.first(c).alias(c) for c in [*PARTS, "sounds"]], (F.min("key") < F.max("key")).alias("repeated"))
     written = distinct.groupBy("name").agg(F.count(F.lit(1)).alias("written"))  # a slip is rare beside the name it is of; by addresses, so rows held several times change nothing
     reps = cut_lineage(distinct.join(written, "name"))
+    usual = reps.agg(F.percentile_approx("written", F.lit(0.5)).alias("usual"), F.count_if("repeated").alias("repeated")).collect()[0]
     place_key = lambda place, tag: F.when(F.col(place) != "", F.transform("sounds", lambda s: F.xxhash64(F.lit(tag), F.col(place), F.col("number"), s))).otherwise(F.array().cast("array<bigint>"))
     keyed = reps.withColumn("block", F.explode(F.array_distinct(F.concat(place_key("postcode", "p"), place_key("commune", "c")))))
     left = keyed.select("block", *[F.col(c).alias(f"a_{c}") for c in ["rep", "written", *PARTS]])
@@ -131,10 +146,10 @@ def locations(df: DataFrame, key: str, address: str, postcode: str, commune: str
     first = lambda x: F.element_at(x, 1)
     last = lambda x: F.element_at(x, -1)
     initial = (F.size(a) > 1) & (F.size(b) > 1) & near_text(last(a), last(b)) & (F.least(F.length(first(a)), F.length(first(b))) == 1) & (F.substring(first(a), 1, 1) == F.substring(first(b), 1, 1))
-    some = F.arrays_overlap(a, b)
+    some, slip = F.arrays_overlap(a, b), near_text(F.col("a_name"), F.col("b_name"))
     least, most = F.least("a_written", "b_written"), F.greatest("a_written", "b_written")
-    slip = near_text(F.col("a_name"), F.col("b_name")) & ((least <= 2) | (least * 10 <= most))
-    name_level = F.when(F.col("a_name") == F.col("b_name"), 3).when(slip | initial, 2).when(some, 1).otherwise(0)
+    rare = (least <= RARE * most) | (least <= max(1.0, RARE_ALONE * (usual["usual"] or 1)))
+    name_level = F.when(F.col("a_name") == F.col("b_name"), 5).when(initial, 4).when(slip & rare, 3).when(slip, 2).when(some, 1).otherwise(0)
     pairs = cut_lineage(pairs.select(
         "a_rep", "b_rep", "a_commune", "b_commune", "a_kind", "b_kind",
         level("a_postcode", "b_postcode").alias("postcode_level"),
@@ -143,14 +158,15 @@ def locations(df: DataFrame, key: str, address: str, postcode: str, commune: str
         F.when(F.col("a_suffix") == F.col("b_suffix"), 1).otherwise(0).alias("suffix_level"),
         name_level.alias("name_level"),
     ))
-    seen = pairs.groupBy(*LEVELS).count().toPandas()  # at most 4 * 4 * 4 * 2 * 4 rows
-    chance = estimate(seen[LEVELS].to_numpy(dtype=int), seen["count"].to_numpy(dtype=float))
-    good = [tuple(map(int, row)) for row, p in zip(seen[LEVELS].to_numpy(), chance) if p >= 0.5]
+    seen = pairs.groupBy(*LEVELS).count().toPandas()  # at most 4 * 4 * 4 * 2 * 6 rows
+    patterns, counts = seen[LEVELS].to_numpy(dtype=int).reshape(-1, len(LEVELS)), seen["count"].to_numpy(dtype=float)
+    # addresses written alike by several are pairs of one place too, and never met above
+    chance = estimate(np.concatenate([patterns, [TOP]]), np.append(counts, float(usual["repeated"])))[: len(patterns)]
+    good = [tuple(map(int, row)) for row, p in zip(patterns, chance) if p >= 0.5]
     agree = F.lit(False)
     for pattern in good:
         agree = agree | F.struct(*LEVELS).eqNullSafe(F.struct(*[F.lit(x).alias(c) for x, c in zip(pattern, LEVELS)]))
-    sound_parts = "postcode_level >= 1 AND commune_level >= 1 AND kind_level >= 1 AND suffix_level = 1 AND name_level >= 2 AND postcode_level + commune_level >= 4"
-    links = cut_lineage(pairs.filter(agree & F.expr(sound_parts)))
+    links = cut_lineage(pairs.filter(agree))
     # an address with a part missing must not tie two places together: it may only join neighbours that agree
     both = links.select("a_rep", "a_commune", "a_kind", "b_commune", "b_kind").union(links.select("b_rep", "b_commune", "b_kind", "a_commune", "a_kind"))
     torn = both.toDF("rep", "c", "k", "oc", "ok").groupBy("rep").agg(

@@ -138,6 +138,21 @@ def test_slip_links_however_often_rows_repeat(spark):
     assert place["0"] == place["8"] and again["0"] == again["8"] and again["2000"] == again["1008"]
 
 
+def test_weights_decide_between_slips_and_neighbours(spark, monkeypatch):
+    """Two common names a letter apart stay two places and a rare slip of one is linked: by the estimated weights alone, as without them both are."""
+    data = [(f"b{k}", f"{k} rue des Bergers", "63000", "Ville") for k in range(1, 60)] + [(f"v{k}", f"{k} rue des Vergers", "63000", "Ville") for k in range(1, 60)] + [(f"s{k}", f"{k} rue des Bergres", "63000", "Ville") for k in range(1, 4)]
+    data += [(f"p{j}{k}", f"{k} rue de la {w}", "63000", "Ville") for j, w in enumerate(["Poste", "Gare", "Mairie", "Fontaine"]) for k in range(1, 40)] + [(f"q{k}", f"{k} r. Psote", "63000", "Ville") for k in range(1, 12)]
+    data += [(f"c{k}", f"{k} rue de la Porte", "63000", "Ville") for k in range(1, 40)] + [(f"a{k}", f"{k} avenue de la Gare", "63000", "Ville") for k in range(1, 20)]
+    data += [(f"{t}{w}{k}", f"{k} rue des {w}", "63000", t) for t in ("Autreville", "Lointaine") for w in ("Bergers", "Vergers") for k in range(1, 60)]
+    data += [(f"h{t}{w}{k}", f"{k} rue du {w}", "63000", t) for t in ("Ville", "Autreville", "Lointaine") for w in ("Chataignier", "Chateau", "Chatelet", "Chaton", "Chatoyant", "Chatreix", "Chatouille") for k in range(1, 60)]  # what neighbours look like is learned from these
+    df = spark.createDataFrame(data, "k string, adr string, cp string, town string")
+    place = lambda: {r["key"]: r["location"] for r in same_address.locations(df, "k", "adr", "cp", "town").collect()}
+    got = place()
+    assert got["s2"] == got["b2"] and got["b2"] != got["v2"] and got["q5"] == got["p05"] and got["c5"] != got["p05"] and got["a5"] != got["p15"]
+    monkeypatch.setattr(same_address, "estimate", lambda patterns, counts: np.ones(len(counts)))
+    assert place() != got and place()["b2"] == place()["v2"]
+
+
 def test_estimate_separates():
     patterns = np.array([[3, 3], [0, 0], [1, 3], [3, 0]])
     p = same_address.estimate(patterns, np.array([900.0, 2000.0, 60.0, 40.0]))

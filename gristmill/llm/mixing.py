@@ -116,7 +116,8 @@ def mix(sizes: DataFrame, targets: DataFrame, block: int = 4096, seed: int = 7)
     current = rows.select("id", "source", "tokens", "base", "p", "b")
     while True:
         final = most <= 1
-        moved = cut_lineage(current.groupBy("source", "b").applyInPandas(step(final, level), shape))
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        moved = cut_lineage(current.repartition(tasks, "source", "b").groupBy("source", "b").applyInPandas(step(final, level), shape))  # few bytes and much work: not to be merged into one task
         settled = moved if final else moved.filter(~open_)
         done = settled if done is None else done.unionByName(settled)
         if final:
@@ -128,9 +129,19 @@ def mix(sizes: DataFrame, targets: DataFrame, block: int = 4096, seed: int = 7)
     return chosen.filter("repeats > 0").select(F.col("id").alias("doc_id"), "source", "tokens", "repeats")
 
 
-def shares(chosen: DataFrame, targets: DataFrame) -> DataFrame:
-    """Actual share of each source beside its target."""
-    got = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.max("repeats").alias("most_repeats"))
+def shares(chosen: DataFrame, targets: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Actual share of each source beside its target.
+
+    With ``sizes`` also the documents, repeats counted, that the plan asks for, and those chosen: the second constraint,
+    which the longer half of the documents only nearly keeps.
+    """
+    got = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.sum("repeats").alias("uses"), F.max("repeats").alias("most_repeats"))
     joined = targets.join(got, "source", "left").withColumn("all_tokens", F.sum("tokens").over(Window.partitionBy()))  # a row a source
-    return joined.select("source", "target_share", "max_repeats", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
-                         F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.round(F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)), 6).alias("actual_share"))
+    columns = ["source", "target_share", "max_repeats", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("documents", "tokens", "most_repeats")], F.round(F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)), 6).alias("actual_share")]
+    if sizes is None:
+        return joined.select(*columns)
+    wanted = targets.filter("source IS NOT NULL").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")).toPandas()
+    totals = sizes.filter("tokens > 0 AND source IS NOT NULL").groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).toPandas()
+    planned = plan(totals, wanted).merge(totals[["source", "n"]], on="source")
+    asked = chosen.sparkSession.createDataFrame(planned.assign(expected_uses=planned["repeats"] * planned["n"])[["source", "expected_uses"]], "source string, expected_uses double")
+    return joined.join(F.broadcast(asked), "source", "left").select(*columns, F.coalesce("uses", F.lit(0)).alias("uses"), F.round(F.coalesce("expected_uses", F.lit(0.0)), 2).alias("expected_uses"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import contact
 from gristmill.llm import entity_match, format_duplicates, mixing, packing, reading_level, representative, same_address
 from gristmill.llm.tokens import token_counts
+from gristmill.session import cut_lineage
 from gristmill.sources.tables import table
 
 #: Tables whose records repeat: id, columns that don't count, addresses, pairs that may change places.
@@ -40,10 +41,11 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _exports(spark: SparkSession, folder: str, alone: bool = False) -> tuple[DataFrame, dict]:
+def _exports(spark: SparkSession, folder: str, alone: bool = False, untimed: bool = False) -> tuple[DataFrame, dict]:
     """Rows of producteurs_export by siret with ranks and currency, and the fields that compete.
 
-    With ``alone`` the rows without a usable siret are there too; column ``group`` is the siret, or theirs alone.
+    With ``alone`` the rows without a usable siret are there too; column ``group`` is the siret, or theirs alone. With
+    ``untimed`` no row keeps its time: what is current is inferred from the order in which versions follow each other.
     """
     sources = {"telephone_final": "source_telephone", "email_final": "source_email", "website_final": "source_website"}
     rows = table(spark, folder, "producteurs_export").withColumn("siret", contact.clean_siret(F.col("siret")))
@@ -59,7 +61,10 @@ def _exports(spark: SparkSession, folder: str, alone: bool = False) -> tuple[Dat
         rows = rows.withColumn("group", F.coalesce("siret", F.concat(F.lit("#"), F.col("export_no"))))
     else:
         rows = rows.filter("siret IS NOT NULL")
-    grouped = representative.with_currency(rows, "group" if alone else "siret", "exported_at", "export_no", ["version", "statut_sirene"])
+    if untimed:
+        grouped = representative.with_currency(rows.withColumn("exported_at", F.lit(None).cast("timestamp")), "siret", "exported_at", "export_no", ["version"], rows)
+    else:
+        grouped = representative.with_currency(rows, "group" if alone else "siret", "exported_at", "export_no", ["version", "statut_sirene"])
     return grouped, {f: (usable[f], F.col(f"_rank_{f}")) for f in sources}
 
 
@@ -69,6 +74,12 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return representative.survivors(rows, "siret", "export_no", fields).filter("n_rows > 1").select("siret", "field", F.col("id").alias("export_no"))
 
 
+def p2_untimed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where no row says when it was exported: currency by the learned order of versions alone."""
+    rows, fields = _exports(spark, folder, untimed=True)
+    return representative.survivors(rows, "siret", "export_no", fields).filter("n_rows > 1").select("siret", "field", F.col("id").alias("export_no"))
+
+
 def p2_survivors(spark: SparkSession, folder: str) -> DataFrame:
     """One surviving row per siret, filled field by field; a row without a usable siret stands alone (siret NULL)."""
     rows, fields = _exports(spark, folder, alone=True)
@@ -108,6 +119,17 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(token_counts(table(spark, folder, "documents")), table(spark, folder, "pack_sizes"))
 
 
+def p8_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What must not be of each set of containers: any over its capacity, documents lost or held twice, cut without need."""
+    sizes = token_counts(table(spark, folder, "documents"))
+    packed = cut_lineage(packing.pack_documents(sizes, table(spark, folder, "pack_sizes")))
+    sets = table(spark, folder, "pack_sizes")
+    over = packed.groupBy("container_set", "container_id").agg(F.sum("tokens").alias("used")).join(F.broadcast(sets), "container_set").groupBy("container_set").agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("over_capacity"))
+    each = packed.groupBy("container_set", "doc_id").agg(F.sum("tokens").alias("packed"), F.count(F.lit(1)).alias("parts")).join(F.broadcast(sets), "container_set").join(sizes.withColumnRenamed("id", "doc_id"), "doc_id", "full_outer")
+    wrong = each.groupBy("container_set").agg(F.count_if(~F.col("packed").eqNullSafe(F.col("tokens"))).alias("lost_or_repeated"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= F.col("capacity_tokens"))).alias("cut_without_need"))
+    return over.join(wrong, "container_set", "full_outer")
+
+
 def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     """Containers, used and unused space of each set."""
     return packing.container_report(p8_containers(spark, folder))
@@ -118,9 +140,22 @@ def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(token_counts(table(spark, folder, "documents"), keep=("source",)), table(spark, folder, "mix_targets"))
 
 
+def p9_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What must not be of each source: documents of another source, more repeats than allowed, tokens off their target by more than the two longest documents."""
+    chosen = cut_lineage(p9_mixture(spark, folder))
+    longest = chosen.agg(F.max("tokens").alias("longest"), F.sum(F.col("tokens") * F.col("repeats")).alias("all_tokens"))
+    targets = table(spark, folder, "mix_targets")
+    documents = table(spark, folder, "documents").select("doc_id", F.col("source").alias("own"))
+    foreign = chosen.join(documents, "doc_id", "left").groupBy("source").agg(F.count_if(~F.col("own").eqNullSafe(F.col("source"))).alias("foreign"))
+    far = F.abs(F.col("tokens") - F.col("target_share") * longest.select("all_tokens").scalar()) > 2 * longest.select("longest").scalar()
+    off = mixing.shares(chosen, targets).select("source", (F.col("most_repeats") > F.col("max_repeats")).cast("bigint").alias("too_often"), far.cast("bigint").alias("off_target"))
+    return off.join(foreign, "source", "left").select("source", "too_often", "off_target", F.coalesce("foreign", F.lit(0)).alias("foreign"))
+
+
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
-    """Shares reached beside their targets."""
-    return mixing.shares(p9_mixture(spark, folder), table(spark, folder, "mix_targets"))
+    """Shares reached beside their targets, documents chosen beside those a share asks for."""
+    sizes = token_counts(table(spark, folder, "documents"), keep=("source",))
+    return mixing.shares(p9_mixture(spark, folder), table(spark, folder, "mix_targets"), sizes)
 
 
 def p10_levels(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,7 +176,7 @@ def p10_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p1_records, p2_found, p2_survivors, p6_found, p6_matches, p7_found, p7_locations, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_levels, p10_profile)
+    found = (p1_found, p1_records, p2_found, p2_untimed, p2_survivors, p6_found, p6_matches, p7_found, p7_locations, p8_containers, p8_invariants, p8_fill, p9_mixture, p9_invariants, p9_shares, p10_found, p10_levels, p10_profile)
     return {f.__name__: f for f in found}
 
 
@@ -168,9 +203,25 @@ P2_SQL = f"""WITH e AS (SELECT *, {SIRET} AS s FROM producteurs_export), g AS (S
  SELECT s, 'website_final', source_website, exported_at, export_no FROM g WHERE n > 1 AND regexp_matches({HOST}, '^[^\\s.]+(\\.[^\\s.]+)+$'))
 SELECT s AS siret, c.field, export_no FROM c LEFT JOIN source_ranks k ON k.field = c.field AND k.source = lower(trim(regexp_replace(c.src, '(?s)\\(.*$', '')))
 QUALIFY row_number() OVER (PARTITION BY s, c.field ORDER BY coalesce(rank_hint, 1000000), exported_at DESC, export_no) = 1"""
+#: Levels of versions as they are learned: edges between those that follow each other often, the longest way to each.
+LEVELS_SQL = """ts AS (SELECT s, exported_at, v, min(export_no) AS o FROM e WHERE regexp_matches(s, '^[0-9]{14}$') AND exported_at IS NOT NULL GROUP BY ALL), follow AS (SELECT lag(v) OVER w AS older, v AS newer, lag(exported_at) OVER w < exported_at AS later FROM ts WINDOW w AS (PARTITION BY s ORDER BY exported_at, o)),
+counted AS (SELECT older, newer, count(*) AS n FROM follow WHERE later AND older <> newer GROUP BY ALL), edges AS (SELECT a.older, a.newer FROM counted a LEFT JOIN counted b ON b.older = a.newer AND b.newer = a.older WHERE a.n >= 3 AND a.n >= 0.8 * (a.n + CASE WHEN b.n >= 3 THEN b.n ELSE 0 END)),
+ways AS (SELECT DISTINCT v, 0 AS d FROM e UNION SELECT newer, d + 1 FROM ways JOIN edges ON older = v), levels AS (SELECT v, max(d) AS d FROM ways GROUP BY v), """
+P2_UNTIMED_SQL = P2_SQL.replace("WITH e AS (SELECT *,", "WITH RECURSIVE e AS (SELECT *, regexp_extract(coalesce(export_version, ''), '^(v[0-9]+)', 1) AS v,").replace("g AS (SELECT *,", LEVELS_SQL + "g AS (SELECT *,", 1).replace("exported_at, export_no FROM g", "v, export_no FROM g").replace("ON k.field = c.field", "ON k.field = c.field", 1)
+P2_UNTIMED_SQL = P2_UNTIMED_SQL.replace("FROM c LEFT JOIN source_ranks", "FROM c JOIN levels USING (v) LEFT JOIN source_ranks").replace("exported_at DESC, export_no) = 1", "d DESC, export_no) = 1")
+
+
+def _records_sql(name: str, columns: list[str]) -> str:
+    """Every record with how often it stands there."""
+    return f"SELECT '{name}' AS table_name, t.{REPEATING[name][0]} AS first_id, 1 + coalesce(n, 0) AS n_copies FROM {name} t LEFT JOIN (SELECT first_id, count(*) AS n FROM ({_repeats_sql(name, columns)}) GROUP BY first_id) f ON f.first_id = t.{REPEATING[name][0]} WHERE t.{REPEATING[name][0]} NOT IN (SELECT copy_id FROM ({_repeats_sql(name, columns)}))"
+
+
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for what SQL can express; the other operators are tested in tests/llm."""
     repeats = f"{_repeats_sql('ingest_rows', INGEST)} UNION ALL {_repeats_sql('eleveurs_export', BREEDERS)}"
-    return {"p1_found": repeats, "p2_found": P2_SQL}
+    records = f"{_records_sql('ingest_rows', INGEST)} UNION ALL {_records_sql('eleveurs_export', BREEDERS)}"
+    sound = "SELECT container_set, 0 AS over_capacity, 0 AS lost_or_repeated, 0 AS cut_without_need FROM pack_sizes"
+    mixed = "SELECT source, 0 AS too_often, 0 AS off_target, 0 AS foreign FROM mix_targets"
+    return {"p1_found": repeats, "p1_records": records, "p2_found": P2_SQL, "p2_untimed": P2_UNTIMED_SQL, "p8_invariants": sound, "p9_invariants": mixed}

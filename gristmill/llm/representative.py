@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_VALUES = 1000
+#: Most pairs of values that may precede each other in one attribute; one with more has no small range, and is refused.
+MOST_EDGES = 10_000
 
 
 def transitions(rows: DataFrame, group: str, time: str, order: str, attribute: str) -> DataFrame:
@@ -29,7 +30,11 @@ def transitions(rows: DataFrame, group: str, time: str, order: str, attribute: s
     return pairs.filter("_later AND older <> newer").groupBy("older", "newer").agg(F.count(F.lit(1)).alias("n"))
 
 
-def precedence_levels(counts: list[tuple[str, str, int]], least: int = 3, ratio: float = 0.8) -> dict[str, int]:
+#: How often a value must follow another for an edge of the precedence graph.
+LEAST_TRANSITIONS = 3
+
+
+def precedence_levels(counts: list[tuple[str, str, int]], least: int = LEAST_TRANSITIONS, ratio: float = 0.8) -> dict[str, int]:
     """Topological level of each value: the longest chain of values that precede it.
 
     An edge needs ``least`` transitions and ``ratio`` of those between its two values. Edges are added strongest
@@ -65,14 +70,19 @@ def precedence_levels(counts: list[tuple[str, str, int]], least: int = 3, ratio:
     return levels
 
 
-def with_currency(rows: DataFrame, group: str, time: str, order: str, attributes: list[str]) -> DataFrame:
+def with_currency(rows: DataFrame, group: str, time: str, order: str, attributes: list[str], learn_from: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``_time`` (known or inferred) and ``_after``: 1 later than that time, 0 at it, -1 inferred to be no later.
 
-    A group without any known time has ``_time`` NULL and is ordered by level alone.
+    A group without any known time has ``_time`` NULL and is ordered by level alone. Transitions are learned from
+    ``learn_from``, else from the rows themselves; only those met as often as an edge asks reach the driver, and an
+    attribute with more than ``MOST_EDGES`` of them raises ValueError. Where every row has its time there is nothing to
+    infer and nothing is learned.
     """
     level: Column | None = None
-    for attribute in attributes:
-        counts = transitions(rows, group, time, order, attribute).orderBy(F.desc("n"), "older", "newer").limit(MAX_VALUES).collect()
+    for attribute in attributes if not rows.filter(F.col(time).isNull()).isEmpty() else []:
+        counts = transitions(rows if learn_from is None else learn_from, group, time, order, attribute).filter(F.col("n") >= LEAST_TRANSITIONS).limit(MOST_EDGES + 1).collect()
+        if len(counts) > MOST_EDGES:
+            raise ValueError(f"{attribute} has too many values that follow each other to order them")
         known = {v: k for v, k in precedence_levels([(r["older"], r["newer"], r["n"]) for r in counts]).items() if k}
         if known:
             table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])

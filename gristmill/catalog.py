@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import geo
 from gristmill.operators import schema_drift, spatial, split_values
-from gristmill.plans import entities, lifecycle_queries, registry, scalars, views  # noqa: F401  (they register themselves)
+from gristmill.plans import base_queries, entities, lifecycle_queries, registry, scalars, views  # noqa: F401  (they register themselves)
 from gristmill.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.text import let, norm, unaccent
 
-#: What parked domains say (fixed values).
+#: What parked domains say, digits left out as they are of the text (fixed values).
 PARKED = [
     "ce domaine est a vendre", "ce nom de domaine est a vendre", "buy this domain", "domain for sale", "this domain is for sale", "domaine reserve",
     "site en construction", "under construction", "page en cours de construction", "parking de domaine", "acheter ce domaine", "sedoparking",
@@ -54,46 +54,102 @@ def breadth(c: Column, pattern: str) -> Column:
     return F.size(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))))
 
 
-def directory_reason(c: Column, most_postcodes: int = 8, most_sirets: int = 3) -> Column:
-    """Why a text looks like a directory ('' where it doesn't): many postcodes, many identifiers, or phrases with breadth."""
-    phrases_in = lambda t: sum((t.contains(p).cast("int") for p in DIRECTORY), F.lit(0))
-    facts = F.struct(breadth(c, r"\b(?:0[1-9]|[1-8]\d|9[0-8])\d{3}\b").alias("p"), breadth(c, r"\b\d{14}\b").alias("s"), let(flat(c), phrases_in).alias("n"))
-    return let(facts, lambda x: _directory(x["p"], x["s"], x["n"], most_postcodes, most_sirets))
+#: From how many distinct postcodes, identifiers and communes on a text is about many businesses (fixed values).
+MOST_POSTCODES, MOST_SIRETS, MOST_COMMUNES = 8, 3, 4
+#: Words that say a trade, not which business (fixed values).
+GENERIC_WORDS = """PAIN PAINS BOULANGERIE BOULANGER PATISSERIE PATISSIER FOURNIL MAISON ATELIER MOULIN FOUR TRADITION DELICE
+DELICES GOURMAND GOURMANDE BOUTIQUE ARTISAN PETRIN MARSEILLE AIX PROVENCE SARL EURL SAS SASU SNC""".split()
 
 
-def _directory(postcodes: Column, sirets: Column, phrases: Column, most_postcodes: int, most_sirets: int) -> Column:
-    return F.when(postcodes >= most_postcodes, F.concat(F.lit("cp_breadth:"), postcodes)).when(sirets >= most_sirets, F.concat(F.lit("siret_breadth:"), sirets)).when(
-        (phrases >= 2) & (postcodes >= 3), F.concat(F.lit("phrases:"), phrases, F.lit("+breadth"))).otherwise(F.lit(""))
+def breadths(text: Column, communes: Column | None = None) -> Column:
+    """STRUCT(postcodes, sirets, communes, phrases): how many distinct ones of each a text names.
 
+    ``communes`` is an ARRAY of normal forms that are looked for as substrings; without it none is counted.
+    """
+    towns = F.lit(0) if communes is None else let(norm(text), lambda t: F.size(F.filter(F.array_distinct(communes), lambda c: (c != "") & t.contains(c))))
+    first = F.regexp_extract_all(text, F.lit(r"\b([0-9]{5})\b"), F.lit(1))
+    postcodes = F.size(F.array_distinct(F.filter(first, lambda c: F.substring(c, 1, 2).between("01", "98"))))
+    return F.struct(postcodes.alias("postcodes"), breadth(text, r"\b\d{14}\b").alias("sirets"), towns.alias("communes"),
+                    let(flat(text), lambda t: sum((t.contains(p).cast("int") for p in DIRECTORY), F.lit(0))).alias("phrases"))
+
+
+def directory_reason(text: Column, communes: Column | None = None) -> Column:
+    """Why a text looks like a directory ('' where it doesn't): breadth of postcodes, identifiers or communes, or phrases with some of it."""
+    wide = [("postcodes", MOST_POSTCODES, "cp"), ("sirets", MOST_SIRETS, "siret"), ("communes", MOST_COMMUNES, "commune")]
+
+    def why(x: Column) -> Column:
+        said = F.when((x["phrases"] >= 2) & ((x["postcodes"] >= 3) | (x["communes"] >= 2)), F.concat(F.lit("phrases:"), x["phrases"], F.lit("+breadth"))).otherwise(F.lit(""))
+        for part, least, label in reversed(wide):
+            said = F.when(x[part] >= least, F.concat(F.lit(f"{label}_breadth:"), x[part])).otherwise(said)
+        return said
+
+    return F.coalesce(let(breadths(text, communes), why), F.lit(""))
+
+
+#: Proofs that a page is of a business, strongest first (fixed values).
+PROOFS = ["siret", "siren", "tel", "cp+nom", "nom_domaine", "cp", "none"]
+
+
+def ownership(text: Column, siret: Column, postcode: Column, name: Column, phone: Column | None = None, domain: Column | None = None) -> Column:
+    """The first of ``PROOFS`` a page gives: identifier or phone printed on it, postcode and name, a domain named after it, postcode.
+
+    ``phone`` is ten national digits known from elsewhere. A missing fact proves nothing.
+    """
+    digits = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s.\-()+]", "")
+
+    def proven(d: Column) -> Column:
+        printed = lambda c, n: F.coalesce((F.length(c) == n) & d.contains(c), F.lit(False))
+        named = F.coalesce(let(norm(text), lambda t: F.exists(F.split(norm(name), " "), lambda w: (F.length(w) >= 4) & t.contains(w))), F.lit(False))
+        held = [printed(siret, 14), F.coalesce((F.length(siret) == 14) & d.contains(F.substring(siret, 1, 9)), F.lit(False)), F.lit(False) if phone is None else printed(phone, 10),
+                printed(postcode, 5) & named, F.lit(False) if domain is None else domain_matches_name(domain, name, GENERIC_WORDS), printed(postcode, 5), F.lit(True)]
+        return F.get(F.filter(F.array(*[F.when(h, F.lit(p)) for h, p in zip(held, PROOFS)]), lambda p: p.isNotNull()), F.lit(0))
 
-def ownership(text: Column, siret: Column, postcode: Column, name: Column) -> Column:
-    """Strongest proof that a page is of a business: siret, siren, cp+nom, cp or none."""
-    digits = F.regexp_replace(text, r"[\s.\-()+]", "")
-    cp = F.coalesce((F.length(postcode) == 5) & digits.contains(postcode), F.lit(False))
-    named = F.coalesce(let(norm(text), lambda n: F.exists(F.split(norm(name), " "), lambda t: (F.length(t) >= 4) & n.contains(t))), F.lit(False))
-    return F.when((F.length(siret) == 14) & digits.contains(siret), "siret").when((F.length(siret) == 14) & digits.contains(F.substring(siret, 1, 9)), "siren").when(cp & named, "cp+nom").when(cp, "cp").otherwise("none")
+    return let(digits, proven)
 
 
-def site_verdict(text: Column, own: Column, shared: Column, score: Column, least_chars: int = 500) -> Column:
+def site_verdict(text: Column, own: Column, shared: Column, score: Column, communes: Column | None = None, shop_page: Column | None = None, blocked: Column | None = None, least_chars: int = 500, least_score: int = 2) -> Column:
     """STRUCT(verdict, reason): the first rule that holds; their order is the design.
 
-    Unreached, parked, directory, owned by identifier, too short to judge, shared domain, owned by name, off topic.
+    ``text`` NULL is a page not reached: dead, or blocked (which says nothing of the business unless its domain is
+    shared). Then: parked, a page of its own on a chain's site, directory, owned by identifier or phone, too short to
+    judge, shared domain, owned by name and of the trade (``score`` counts its words), somebody else's of the trade,
+    anything else.
     """
-    return let(F.struct(directory_reason(text).alias("why"), own.alias("own")), lambda x: _verdict(text, x["own"], shared, score, x["why"], least_chars))
-
-
-def _verdict(text: Column, own: Column, shared: Column, score: Column, reason: Column, least_chars: int) -> Column:
-    out = lambda verdict, why: F.struct(F.lit(verdict).alias("verdict"), (why if isinstance(why, Column) else F.lit(why)).alias("reason"))
-    return (
-        F.when(text.isNull(), out("mort", "unreachable"))
-        .when(is_parked(text), out("parked", "parking_page"))
-        .when(reason != "", out("annuaire", reason))
-        .when(own.isin("siret", "siren"), out("valide", F.concat(F.lit("own:"), own)))
-        .when(F.length(text) < least_chars, out("non_verifiable", F.concat(F.lit("text:"), F.length(text))))
-        .when(shared, out("reseau", F.concat(F.lit("shared_domain+"), own)))
-        .when((own == "cp+nom") & (score >= 1), out("valide", F.concat(F.lit("own:"), own)))
-        .otherwise(out("hors_sujet", F.concat(F.lit("no_proof:"), own)))
-    )
+    facts = F.struct(directory_reason(text, communes).alias("why"), own.alias("own"), F.coalesce(shared, F.lit(False)).alias("shared"), F.coalesce(score, F.lit(0)).alias("score"),
+                     (F.lit(False) if shop_page is None else F.coalesce(shop_page, F.lit(False))).alias("shop"), (F.lit(False) if blocked is None else F.coalesce(blocked, F.lit(False))).alias("blocked"))
+
+    def ladder(x: Column) -> Column:
+        rungs = [
+            (text.isNull() & x["blocked"] & x["shared"], "reseau", F.lit("blocked+shared")), (text.isNull() & x["blocked"], "non_verifiable", F.lit("blocked")), (text.isNull(), "mort", F.lit("unreachable")),
+            (is_parked(text), "parked", F.lit("parking_page")), (x["shop"], "valide", F.concat(F.lit("shop_page+"), x["own"])), (x["why"] != "", "annuaire", x["why"]),
+            (x["own"].isin(*PROOFS[:3]), "valide", F.concat(F.lit("own:"), x["own"])), (F.length(text) < least_chars, "non_verifiable", F.concat(F.lit("text:"), F.length(text))),
+            (x["shared"], "reseau", F.concat(F.lit("shared_domain+"), x["own"])),
+            (x["own"].isin("cp+nom", "nom_domaine") & (x["score"] >= 1), "valide", F.concat(F.lit("own:"), x["own"])), (x["own"].isin("cp+nom", "nom_domaine"), "hors_sujet", F.concat(x["own"], F.lit("_no_trade:"), x["score"])),
+            (x["score"] >= least_score, "hors_sujet", F.concat(F.lit("trade_other:"), x["own"])),
+        ]
+        said = F.struct(F.lit("hors_sujet").alias("verdict"), F.concat(F.lit("no_proof:"), x["own"]).alias("reason"))
+        for holds, verdict, reason in reversed(rungs):
+            said = F.when(holds, F.struct(F.lit(verdict).alias("verdict"), reason.alias("reason"))).otherwise(said)
+        return said
+
+    return let(facts, ladder)
+
+
+def site_confidence(verdict: Column, own: Column) -> Column:
+    """What a reader is told of a site: ``confirme``, ``probable``, ``non verifie`` or ''."""
+    return F.when(verdict == "non_verifiable", "non verifie").when((verdict == "valide") & own.isin(*PROOFS[:3]), "confirme").when(verdict == "valide", "probable").otherwise("")
+
+
+def shop_pages(urls: Column, commune: Column, postcode: Column) -> Column:
+    """Those of an ARRAY of URLs that look like the shop's own page on a chain's site: its postcode, its town or every long word of it."""
+    town = slug(commune)
+
+    def kept(facts: Column) -> Column:
+        words = F.filter(F.split(facts["town"], "-"), lambda w: F.length(w) > 3)
+        own = lambda u: F.coalesce((postcode != "") & u.contains(postcode), F.lit(False)) | ((facts["town"] != "") & u.contains(facts["town"])) | ((F.size(words) > 0) & F.forall(words, lambda w: u.contains(w)))
+        return F.filter(urls, lambda u: own(F.lower(u)))
+
+    return let(F.struct(F.coalesce(town, F.lit("")).alias("town")), kept)
 
 
 def item_property(html: Column, name: str) -> Column:

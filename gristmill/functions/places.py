@@ -104,3 +104,49 @@ def _parts(bare: Column) -> Column:
     words = F.transform(F.split(bare, " "), lambda w: F.coalesce(F.element_at(table, w), w))
     kept = F.filter(words, lambda w: ~w.rlike(r"^(\d+(BIS|TER|B|T)?|BIS|TER|N|NO|[A-Z])?$") & ~w.isin("DE", "DU", "DES", "LA", "LE", "LES"))
     return F.struct(F.nullif(F.regexp_extract(bare, r"\b(\d{1,4})(?:BIS|TER|B|T)?\b", 1), F.lit("")).alias("house"), F.array_sort(F.array_distinct(kept)).alias("words"))
+
+
+#: Regions and their departments (fixed values).
+REGIONS = {
+    "Auvergne-Rhone-Alpes": "01 03 07 15 26 38 42 43 63 69 73 74",
+    "Bourgogne-Franche-Comte": "21 25 39 58 70 71 89 90",
+    "Bretagne": "22 29 35 56",
+    "Centre-Val-de-Loire": "18 28 36 37 41 45",
+    "Corse": "2A 2B",
+    "Grand-Est": "08 10 51 52 54 55 57 67 68 88",
+    "Hauts-de-France": "02 59 60 62 80",
+    "Ile-de-France": "75 77 78 91 92 93 94 95",
+    "Normandie": "14 27 50 61 76",
+    "Nouvelle-Aquitaine": "16 17 19 23 24 33 40 47 64 79 86 87",
+    "Occitanie": "09 11 12 30 31 32 34 46 48 65 66 81 82",
+    "Pays-de-la-Loire": "44 49 53 72 85",
+    "Provence-Alpes-Cote-d-Azur": "04 05 06 13 83 84",
+}
+ELSEWHERE = "Hors-region"
+
+
+def region(code: Column) -> Column:
+    """Region of a department code; ``ELSEWHERE`` for any other, overseas ones too, NULL for NULL."""
+    table = F.create_map(*[F.lit(x) for name, codes in REGIONS.items() for c in codes.split() for x in (c, name)])
+    return F.when(code.isNotNull(), F.coalesce(F.element_at(table, code), F.lit(ELSEWHERE)))
+
+
+def departments_of(spec: str | None) -> list[str]:
+    """Department codes that a request names: ``all``, a region (with or without ``region:``), or codes between commas.
+
+    A code that no region has is refused, as it would look like a department without rows; blanks and case don't count,
+    one digit is padded, repeats go.
+    """
+    asked = (spec or "").strip()
+    by_name = {name.lower(): codes.split() for name, codes in REGIONS.items()}
+    every = sorted(c for codes in by_name.values() for c in codes)
+    if asked.lower() == "all":
+        return every
+    named = by_name.get(asked.lower().removeprefix("region:").strip().replace(" ", "-"))
+    if named:
+        return sorted(named)
+    codes = list(dict.fromkeys(c.strip().upper().zfill(2) for c in asked.split(",") if c.strip()))
+    unknown = [c for c in codes if c not in every]
+    if unknown:
+        raise ValueError(f"unknown departments: {', '.join(unknown)}")
+    return codes

@@ -23,10 +23,22 @@ def unaccent(c: Column) -> Column:
     return plain
 
 
+#: Lower-case accented letters, what they fold to, and the combining marks, which are dropped.
+_LOW, _LOW_PLAIN = zip(*[(a, p) for a, p in zip(ACCENTED, PLAIN) if a.islower()])
+_MARKS = "".join(map(chr, range(0x300, 0x370)))
+
+
 def words(c: Column, least: int = 2) -> Column:
-    """Words of a text in order: letters only, lower case, without accents; markup, addresses and tags left out."""
-    bare = F.regexp_replace(c, r"<[^>]{0,500}>|&\w{1,10};|https?://\S+|#\w+|\S+@\S+", " ")
-    return F.regexp_extract_all(F.lower(unaccent(bare)), F.lit(f"[a-z]{{{least},}}"), F.lit(0))
+    """Words of a text in order: letters only, lower case, without accents; markup, addresses and tags left out.
+
+    One pass takes markup out, one folds all letters: a tag ends at the next bracket of either kind, so an open one
+    swallows nothing.
+    """
+    bare = F.lower(F.regexp_replace(c, r"<[^<>]*>|&\w{1,10};|https?://\S+|#\w+|\S+@\S+", " "))
+    folded = F.translate(bare, "".join(_LOW) + _MARKS, "".join(_LOW_PLAIN))
+    for ligature, letters in (("œ", "oe"), ("æ", "ae")):
+        folded = F.replace(folded, F.lit(ligature), F.lit(letters))
+    return F.regexp_extract_all(folded, F.lit(f"[a-z]{{{least},}}"), F.lit(0))
 
 
 def norm(c: Column) -> Column:

@@ -152,3 +152,35 @@ def unit_state(asked: DataFrame, units: DataFrame, siret: str) -> DataFrame:
     head = F.get(F.filter("etabs", lambda e: e["siege"]), F.lit(0))["etat"]
     state = F.coalesce(own, head)
     return joined.select(siret, F.when(state == "A", "actif").when(state == "F", "ferme").otherwise("inconnu").alias("state"), F.when(own.isNotNull(), "own").when(head.isNotNull(), "head").alias("by"))
+
+
+def confidence_level(active: Column, score: Column, provider_only: Column, alert: Column) -> Column:
+    """How sure a business is: ``Sûr`` (active in the registry, two dated proofs or more, known not only from a provider, no
+    alert), ``Probable`` (at least one proof), NULL without any, which drops it. NULL counts as no and as zero.
+    """
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    proofs = F.coalesce(score, F.lit(0))
+    return F.when(yes(active) & (proofs >= 2) & ~yes(provider_only) & ~yes(alert), "Sûr").when(proofs >= 1, "Probable")
+
+
+def backfill_status(rows: DataFrame, raw: DataFrame, key: str, json: str, keys: list[str], order: str, status: str = "is_active") -> DataFrame:
+    """``rows`` whose NULL ``status`` is filled from landed JSON: definitive words before unknown ones, closed before active, then by ``order``.
+
+    ``raw`` is (key, json, order); of several spellings of the field the first a row has counts. What is known stays.
+    """
+    from gristmill.functions.contact import normalize_status
+
+    said = F.coalesce(*[F.nullif(F.trim(F.get_json_object(json, f"$['{k}']")), F.lit("")) for k in keys])
+    told = raw.filter(F.col(key).isNotNull()).select(key, said.alias("said"), F.col(order).alias("_o")).filter("said IS NOT NULL").withColumn("s", normalize_status(F.col("said")))
+    facts = first_per_group(told, [key], [F.col("s").isNull(), F.coalesce(F.col("s"), F.lit(False)), F.col("said"), F.col("_o")]).select(key, F.col("s").alias(status))
+    return fill_nulls(rows, facts, key, [status])
+
+
+def audit_row(name: str, **frames: DataFrame) -> DataFrame:
+    """(run, counts) of one run: the rows of each named table as one JSON object, to be appended where runs are kept."""
+    counts = None
+    for label, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("label"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n"))))
+    return counts.agg(F.to_json(entries).alias("counts")).select(F.lit(name).alias("run"), "counts")

@@ -108,18 +108,61 @@ def test_town_repair(column):
 def test_pages(column):
     check(column, pages.strip_tags, [("<p>a&nbsp;b</p><script>x()</script>", "a b"), (None, None)])
     check(column, pages.is_parked, [("Ce domaine est à vendre", True), ("bonjour", False), (None, False)])
-    text = " ".join(f"{k}4000 Ville" for k in range(1, 10))
-    assert column(pages.directory_reason, [text, "short"]) == ["cp_breadth:9", ""] or column(pages.directory_reason, [text.replace("4000", "4001"), "short"])[1] == ""
+    assert column(pages.directory_reason, [" ".join(f"{k}4000 Ville" for k in range(1, 10)), "short", "12345678900012 " * 5, "12345678900012 22345678900012 32345678900012"]) == ["cp_breadth:9", "", "", "siret_breadth:3"]
     verdict = column(lambda t: pages.site_verdict(t, F.lit("none"), F.lit(False), F.lit(0)), [None, "domain for sale", "short", "x " * 600])
     assert [v["verdict"] for v in verdict] == ["mort", "parked", "non_verifiable", "hors_sujet"]
 
 
+def test_site_ladder(column):
+    long, name = "pain " * 200, "OH FAON"
+    check(column, lambda t, s, cp, n, tel: pages.ownership(t, s, cp, n, tel), [
+        (("siret 123 456 789 00012", "12345678900012", "13000", name, None), "siret"), (("123456789", "12345678900012", "13000", name, None), "siren"), (("tél 04.91.12.34.56", "12345678900012", "13000", name, "0491123456"), "tel"),
+        (("13000 faon", None, "13000", name, "0491123456"), "cp+nom"), (("13000", None, "13000", name, None), "cp"), (("x", None, None, None, None), "none"), ((None, None, None, None, None), "none")])
+    check(column, lambda t, d, n: pages.ownership(t, F.lit(None).cast("string"), F.lit("13000"), n, domain=d), [(("13000", "ohfaon.com", name), "nom_domaine"), (("13000", "x.com", name), "cp"), (("13000", "alyncake.fr", "ALYN CAKE"), "nom_domaine"), (("x", "pain-boulangerie.fr", "PAIN"), "none")])
+    towns = F.array(F.lit("AIX"), F.lit("ARLES"), F.lit("ISTRES"), F.lit("MARTIGUES"))
+    check(column, lambda t: pages.directory_reason(t, towns), [("Aix Arles Istres Martigues", "commune_breadth:4"), ("Aix Arles annuaire trouvez", "phrases:2+breadth"), ("Aix annuaire trouvez", ""), (None, "")])
+    verdict = lambda t, own, **k: column(lambda c: pages.site_verdict(c, F.lit(own), k.pop("shared", F.lit(False)), k.pop("score", F.lit(0)), **k), [t])[0]
+    assert tuple(verdict(None, "none", blocked=F.lit(True))) == ("non_verifiable", "blocked")
+    assert tuple(verdict(None, "none", blocked=F.lit(True), shared=F.lit(True))) == ("reseau", "blocked+shared")
+    assert tuple(verdict("Aix Arles Istres Martigues", "cp", communes=towns, shop_page=F.lit(True))) == ("valide", "shop_page+cp")
+    assert tuple(verdict("x", "tel", shared=F.lit(True))) == ("valide", "own:tel") and tuple(verdict(long, "cp", shared=F.lit(True))) == ("reseau", "shared_domain+cp")
+    assert tuple(verdict(long, "nom_domaine", score=F.lit(1))) == ("valide", "own:nom_domaine") and tuple(verdict(long, "cp+nom")) == ("hors_sujet", "cp+nom_no_trade:0")
+    assert tuple(verdict(long, "none", score=F.lit(5))) == ("hors_sujet", "trade_other:none")
+    check(column, pages.site_confidence, [(("valide", "tel"), "confirme"), (("valide", "cp+nom"), "probable"), (("non_verifiable", "none"), "non verifie"), (("parked", "none"), "")])
+    urls = F.array(*map(F.lit, ["/pain-marseille/", "/aix-en-provence-centre", "/13006-x", "/contact"]))
+    assert column(lambda t, cp: pages.shop_pages(urls, t, cp), [("Marseille", "13006"), ("Aix en Provence", ""), (None, None)]) == [["/pain-marseille/", "/13006-x"], ["/aix-en-provence-centre"], []]
+
+
+def test_kept_addresses(column):
+    generic = ["BOULANGERIE", "SARL"]
+    saved = lambda e, v, d, n: emails.recoverable(e, v, d, F.lit(False), n, generic)
+    check(column, saved, [(("info@becfin.fr", "hors_sujet", "x.fr", "AU BEC FIN"), "nom"), (("a@gmail.com", "annuaire", "x.fr", "Y"), "boite"), (("a@gmail.com", "hors_sujet", "x.fr", "Y"), ""), (("contact@x.fr", "reseau", "www.x.fr", "Y"), "domaine"),
+                          (("contact@x.fr", "annuaire", "x.fr", "Y"), ""), (("contact@z.fr", "reseau", "x.fr", "Y"), ""), ((None, "reseau", "x.fr", None), ""), (("nobody", "reseau", "x.fr", "Y"), "")])
+    shared = lambda e, v, d, n: emails.recoverable(e, v, d, F.lit(True), n, generic)
+    assert column(shared, [("contact@x.fr", "reseau", "x.fr", "Y")]) == [""]
+    kept = lambda e, s, v, n, t: emails.keep_reason(e, s, v, n, t, generic)
+    check(column, kept, [(("contact@vitrinesvenelles.org", "pain.fr", "valide", "Pain de Venelles", "Venelles"), ""), (("a@dupont.com", "dupont.fr", "x", "Y", None), "soeur"), (("a@free.fr", "x.fr", "valide", "Y", "Z"), "boite"), (("a@free.fr", "x.fr", "annuaire", "Y", "Z"), ""), (("dupont@y.fr", "x.fr", "x", "SARL Dupont", "Aix"), "nom"), ((None, None, None, None, None), "")])
+    check(column, emails.usable_hit, [(("lea.morin@gmail.com", "x.fr", "MORIN Lea"), True), (("contact@x.fr", "x.fr", "MORIN"), False), (("morin@guide.fr", "x.fr", "MORIN"), False), (("morin@x.fr", "www.x.fr", "MORIN"), True), (("a@ferme-morin.fr", "x.fr", "MORIN"), True), (("noreply@morin.fr", "x.fr", "MORIN"), False), ((None, None, None), False)])
+
+
+def test_regions(column):
+    check(column, places.region, [("63", "Auvergne-Rhone-Alpes"), ("2B", "Corse"), ("974", "Hors-region"), (None, None)])
+    assert places.departments_of("15, 32,2b,15") == ["15", "32", "2B"] and places.departments_of("region:Corse") == ["2A", "2B"] and places.departments_of("pays de la loire")[0] == "44"
+    assert len(places.departments_of("ALL")) == 96 and places.departments_of(None) == [] and places.departments_of("1") == ["01"]
+    try:
+        places.departments_of("99")
+    except ValueError as e:
+        assert "99" in str(e)
+    else:
+        raise AssertionError
+
+
 def test_dates(column):
     check(column, lambda c: dates.parse_date(c).cast("string"), [("03/04/2020", "2020-04-03"), ("2020-04-03", "2020-04-03"), ("2020-04-03 10:11:12", "2020-04-03"), ("2020 04 03 10 11 12", "2020-04-03"), ("03-04-2020", "2020-04-03"), ("1900-01-01", None), ("x", None), (None, None)])
 
 
 def test_words_and_addresses(column):
-    check(column, words, [("L'Été <b>dehors</b> a@b.fr", ["ete", "dehors"]), ("", []), (None, None)])
+    check(column, words, [("L'Été <b>dehors</b> a@b.fr", ["ete", "dehors"]), ("", []), (None, None), ("ŒUVRE e\u0301te\u0301 aæ", ["oeuvre", "ete", "aae"]), (f"<a {'x' * 600}>mot a < bien <i>", ["mot", "bien"]), ("ab " * 50_000, ["ab"] * 50_000)])
     got = column(places.address_parts, ["12 bis av. de la Gare - 63370 X", "Lieu-dit Y", None])
     assert (got[0]["house"], got[0]["words"]) == ("12", ["AVENUE", "GARE"]) and got[1]["house"] is None
 

@@ -170,7 +170,10 @@ def shared_domain(spark: SparkSession, d: str) -> DataFrame:
     return claims.shared_values(rows, "listing_id", "host", 1)
 
 
-@query()
+@query(f"""WITH p AS (SELECT export_no, CASE WHEN regexp_matches({SIRET_SQL}, '^[0-9]{{14}}$') THEN {SIRET_SQL} END AS siret, CASE WHEN regexp_matches({DIGITS_SQL}, '^0[1-9][0-9]{{8}}$') THEN {DIGITS_SQL} END AS phone FROM producteurs_export),
+sent AS (SELECT DISTINCT {DIGITS_SQL.replace('telephone_final', 'telephone')} AS phone FROM eleveurs_export), k AS (SELECT *, phone IN (SELECT phone FROM sent WHERE phone IS NOT NULL) AS was FROM p), o AS (SELECT *, min(export_no) OVER (PARTITION BY coalesce(siret, 'x' || export_no)) AS s1 FROM k WHERE phone IS NOT NULL AND NOT was),
+h AS (SELECT *, min(export_no) FILTER (WHERE s1 = export_no) OVER (PARTITION BY phone) AS p1 FROM o)
+SELECT k.export_no, k.siret, k.phone, CASE WHEN k.phone IS NULL THEN 'no_phone' WHEN k.was THEN 'sent' WHEN h.s1 < k.export_no THEN 'repeat' WHEN h.p1 < k.export_no THEN 'merged' ELSE 'kept' END AS outcome, CASE WHEN k.phone IS NOT NULL AND NOT k.was AND h.s1 = k.export_no AND h.p1 < k.export_no THEN h.p1 END AS "into" FROM k LEFT JOIN h USING (export_no)""")
 def call_sheet(spark: SparkSession, d: str) -> DataFrame:
     """Which exported rows reach the call sheet, and what became of the others."""
     rows = table(spark, d, "producteurs_export").select("export_no", contact.clean_siret(F.col("siret")).alias("siret"), contact.national_digits(F.col("telephone_final")).alias("phone"))

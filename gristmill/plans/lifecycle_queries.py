@@ -10,33 +10,32 @@ from gristmill.operators import quality as Q
 from gristmill.plans.registry import query
 from gristmill.sources.tables import table
 
-HALVES = "o AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 5 < 4), n AS (SELECT c_custkey, lower(c_name) AS c_name, lower(c_mktsegment) AS c_mktsegment FROM customer WHERE c_custkey % 5 > 0)"
+SNAPSHOTS = " ".join(f"{a} AS (SELECT siret, min(raisonSociale) AS raisonSociale, min(telephone) AS telephone, min(email) AS email FROM {t} WHERE siret IS NOT NULL GROUP BY siret){c}" for a, t, c in (("o", "population", ","), ("n", "eleveurs_export", "")))
 
 
-def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """An earlier and a later snapshot of the customers that overlap, the earlier with holes."""
-    c = table(spark, d, "customer")
-    old = c.filter("c_custkey % 5 < 4").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
-    return old, c.filter("c_custkey % 5 > 0").select("c_custkey", F.lower("c_name").alias("c_name"), F.lower("c_mktsegment").alias("c_mktsegment"))
+def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The registry as it stands, with holes, and the rows of an export as they come in: one row a siret each."""
+    one = lambda name: table(spark, d, name).filter("siret IS NOT NULL").groupBy("siret").agg(*[F.min(c).alias(c) for c in ("raisonSociale", "telephone", "email")])
+    return one("population"), one("eleveurs_export")
 
 
-@query(f"WITH {HALVES} SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, coalesce(o.c_name, n.c_name) AS c_name, coalesce(o.c_mktsegment, n.c_mktsegment) AS c_mktsegment FROM o FULL JOIN n ON o.c_custkey = n.c_custkey")
+@query(f"WITH {SNAPSHOTS} SELECT coalesce(o.siret, n.siret) AS siret, coalesce(o.raisonSociale, n.raisonSociale) AS raisonSociale, coalesce(o.telephone, n.telephone) AS telephone, coalesce(o.email, n.email) AS email FROM o FULL JOIN n ON o.siret = n.siret")
 def upsert_coalesce(spark: SparkSession, d: str) -> DataFrame:
-    """New snapshot that fills holes and never overwrites."""
-    return L.upsert_keep(*_halves(spark, d), "c_custkey")
+    """New rows that fill holes and never overwrite."""
+    return L.upsert_keep(*_snapshots(spark, d), "siret")
 
 
-@query(f"WITH {HALVES} SELECT * FROM o UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.c_custkey = n.c_custkey)")
+@query(f"WITH {SNAPSHOTS} SELECT * FROM o UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.siret = n.siret)")
 def insert_if_absent(spark: SparkSession, d: str) -> DataFrame:
     """Old rows and those new ones that weren't there."""
-    return L.insert_absent(*_halves(spark, d), "c_custkey")
+    return L.insert_absent(*_snapshots(spark, d), "siret")
 
 
-@query(f"WITH {HALVES} SELECT o.c_custkey, o.c_name, coalesce(o.c_mktsegment, n.c_mktsegment) AS c_mktsegment FROM o LEFT JOIN n ON o.c_custkey = n.c_custkey")
+@query(f"WITH {SNAPSHOTS} SELECT o.siret, o.raisonSociale, coalesce(o.telephone, n.telephone) AS telephone, coalesce(o.email, n.email) AS email FROM o LEFT JOIN n ON o.siret = n.siret")
 def fill_null(spark: SparkSession, d: str) -> DataFrame:
     """Holes of the old rows filled."""
-    old, new = _halves(spark, d)
-    return L.fill_nulls(old, new, "c_custkey", ["c_mktsegment"])
+    old, new = _snapshots(spark, d)
+    return L.fill_nulls(old, new, "siret", ["telephone", "email"])
 
 
 @query("SELECT row_id, source_file_id FROM ingest_rows WHERE source_file_id IS DISTINCT FROM 3")
@@ -162,3 +161,34 @@ def merged_certificates(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "eleveurs_export").filter("siret IS NOT NULL").select("siret", "export_no", F.col("gerant").alias("first_name"), F.col("productions").alias("products"))
     got = L.merge_certificates(rows, "siret", ["first_name"], ["products"], "export_no")
     return got.withColumn("products", F.nullif("products", F.lit("")))
+
+
+STATUS = "CASE WHEN contains(lower(trim({c})), 'actif') THEN true WHEN regexp_matches(lower(trim({c})), 'ferm|cess|radié|radie') THEN false END"
+
+
+@query(f"""WITH t AS (SELECT CAST(source_file_id AS VARCHAR) || '/' || row_index AS k, raw_id, nullif(trim(coalesce(raw_json->>'Statut_Activite', raw_json->>'STATUT', raw_json->>'Etat', raw_json->>'etat')), '') AS said FROM raw_rows),
+f AS (SELECT k, {STATUS.format(c='said')} AS s FROM t WHERE said IS NOT NULL AND k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY s IS NULL, coalesce(s, false), said, raw_id) = 1)
+SELECT row_id, coalesce({STATUS.format(c='status_raw')}, f.s) AS is_active FROM ingest_rows LEFT JOIN f ON f.k = CAST(source_file_id AS VARCHAR) || '/' || row_index""")
+def status_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """Unknown states filled from the landed rows they came from."""
+    from gristmill.functions.contact import normalize_status
+
+    key = F.concat(F.col("source_file_id").cast("string"), F.lit("/"), F.col("row_index").cast("string")).alias("k")
+    rows = table(spark, d, "ingest_rows").select("row_id", key, normalize_status(F.col("status_raw")).alias("is_active"))
+    raw = table(spark, d, "raw_rows").select(key, "raw_json", "raw_id")
+    return L.backfill_status(rows, raw, "k", "raw_json", ["Statut_Activite", "STATUT", "Etat", "etat"], "raw_id").select("row_id", "is_active")
+
+
+@query("""SELECT 'load' AS run, '{"customers":' || (SELECT count(*) FROM customer) || ',"orders":' || (SELECT count(*) FROM orders) || '}' AS counts""")
+def run_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What a run found, as a row to append."""
+    return L.audit_row("load", orders=table(spark, d, "orders"), customers=table(spark, d, "customer"))
+
+
+@query("""WITH p AS (SELECT user_id, count(DISTINCT event_type) AS n, max(event_type = 'signup') AS active, max(event_type = 'logout') AS alert, min(event_type = 'view') AS provider FROM events GROUP BY user_id)
+SELECT user_id, CASE WHEN active AND n >= 2 AND NOT provider AND NOT alert THEN 'Sûr' WHEN n >= 1 THEN 'Probable' END AS level FROM p""")
+def confidence_levels(spark: SparkSession, d: str) -> DataFrame:
+    """How sure an entity is, by its state, proofs and alerts."""
+    kind = F.col("event_type")
+    facts = table(spark, d, "events").groupBy("user_id").agg(F.countDistinct(kind).alias("n"), F.max(kind == "signup").alias("active"), F.max(kind == "logout").alias("alert"), F.min(kind == "view").alias("provider"))
+    return facts.select("user_id", L.confidence_level(F.col("active"), F.col("n"), F.col("provider"), F.col("alert")).alias("level"))

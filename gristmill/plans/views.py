@@ -66,15 +66,16 @@ def shared_address_families(spark: SparkSession, d: str) -> DataFrame:
     """Addresses of several companies."""
     rows = table(spark, d, "population").filter("trim(adresse) <> '' AND codePostal IS NOT NULL")
     key = F.md5(F.concat(F.upper(F.trim("adresse")), F.lit("|"), F.col("codePostal"))).alias("family")
-    groups = rows.groupBy(key).agg(F.array_sort(F.collect_set("siren")).alias("s")).filter(F.size("s") > 1)
-    return groups.select("family", F.size("s").cast("bigint").alias("companies"), F.array_join("s", ",").alias("sirens"))
+    members = rows.select(key, "siren").distinct()  # copies are gone before anything is gathered
+    groups = members.groupBy("family").agg(F.count("siren").alias("companies"), F.array_join(F.array_sort(F.collect_list("siren")), ",").alias("sirens"))
+    return groups.filter("companies > 1")
 
 
 @query("""SELECT siren, string_agg(DISTINCT sector, '|' ORDER BY sector) AS sectors, count(DISTINCT sector) AS n FROM (
   SELECT substr(siret, 1, 9) AS siren, sector FROM ingest_rows JOIN source_files USING (source_file_id) WHERE length(siret) = 14) GROUP BY siren""")
 def sector_membership(spark: SparkSession, d: str) -> DataFrame:
     """Sectors a company is a member of, as a sorted list."""
-    rows = table(spark, d, "ingest_rows").filter("length(siret) = 14").join(F.broadcast(table(spark, d, "source_files").select("source_file_id", "sector")), "source_file_id")
+    rows = table(spark, d, "ingest_rows").filter("length(siret) = 14").join(table(spark, d, "source_files").select("source_file_id", "sector"), "source_file_id")  # it grows: whether it is broadcast is the optimizer's to say
     got = rows.groupBy(F.substring("siret", 1, 9).alias("siren")).agg(F.array_sort(F.collect_set("sector")).alias("s"))
     return got.select("siren", F.array_join("s", "|").alias("sectors"), F.size("s").cast("bigint").alias("n"))
 
@@ -149,9 +150,11 @@ def verdict_distribution(spark: SparkSession, d: str) -> DataFrame:
     return _verdict(spark, d).groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT row_id, version FROM (SELECT row_id, CASE WHEN row_id % 3 = 0 THEN NULL WHEN row_id % 3 = 1 THEN 'v1' ELSE 'v2' END AS version FROM ingest_rows) WHERE version IS DISTINCT FROM 'v2'""")
+@query("""SELECT row_id, sector FROM ingest_rows JOIN source_files USING (source_file_id) WHERE sector = 'agriculture' AND naf_code_source IS DISTINCT FROM '01.13Z'""")
 def stale_selector(spark: SparkSession, d: str) -> DataFrame:
-    """Rows whose rule version differs or is missing."""
-    m = F.col("row_id") % 3
-    rows = table(spark, d, "ingest_rows").select("row_id", F.when(m == 1, "v1").when(m == 2, "v2").alias("version"))
-    return rows.filter(~F.col("version").eqNullSafe(F.lit("v2")))
+    """Rows of one sector whose version (here the activity code) differs or is missing."""
+    from gristmill.operators.base import stale
+
+    files = table(spark, d, "source_files").select("source_file_id", "sector")
+    rows = table(spark, d, "ingest_rows").select("row_id", "source_file_id", "naf_code_source").join(files, "source_file_id")
+    return stale(rows, "naf_code_source", "01.13Z", sector="agriculture").select("row_id", "sector")

@@ -29,6 +29,12 @@ def p3_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     return schema_drift.lifespans(columns)
 
 
+def p3_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Every column of every landed file with its main type and how many rows have its key."""
+    columns = schema_drift.catalogue(table(spark, folder, "raw_rows"), table(spark, folder, "source_files"))
+    return columns.select("source_file_id", "header", "json_type", "n_rows")
+
+
 def p3_consolidated(spark: SparkSession, folder: str) -> DataFrame:
     """All landed rows in one table of canonical fields."""
     return schema_drift.consolidate(table(spark, folder, "raw_rows"))
@@ -44,6 +50,22 @@ def p4_all_values(spark: SparkSession, folder: str) -> DataFrame:
     return split_values.split_fields(table(spark, folder, "producteurs_export"), "export_no", PACKED_FIELDS)
 
 
+PACKED_CASES = ['a | b / c;"d, e"\tf', 'x - y-z - "q ""r"""', "fromages (frais / affinés) + œufs", ";; a ;; a ;", 'open "q; b', "a (b; c", "", None]
+
+
+def p4_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """The cases a grammar of packed fields is judged by: separators, quotes, brackets, marks that never close."""
+    cases = spark.createDataFrame(list(enumerate(PACKED_CASES)), "case_no int, packed string")
+    return split_values.split_fields(cases, "case_no", {"packed": False}).select("case_no", "pos", "item")
+
+
+def p4_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """How many values the packed fields without quotes and brackets hold, where only line breaks, bars and semicolons stand between them."""
+    rows = table(spark, folder, "producteurs_export")
+    plain = rows.filter(~F.col("sous_segment").rlike(r"[^\p{L}\p{N} |;]")).select("export_no", "sous_segment")
+    return split_values.split_fields(plain, "export_no", {"sous_segment": False}).select("export_no", "pos", "item")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every located listing with every establishment within 100 m (problem 5)."""
     point = geo.located(F.col("lat"), F.col("lon"))
@@ -53,7 +75,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (p3_found, p3_catalogue, p3_consolidated, p4_found, p4_all_values, p5_found)
+    found = (p3_found, p3_catalogue, p3_columns, p3_consolidated, p4_found, p4_all_values, p4_cases, p4_lists, p5_found)
     return {f.__name__: f for f in found} | registry.QUERIES
 
 
@@ -64,5 +86,13 @@ P5_SQL = f"""SELECT DISTINCT listing_no, siret FROM {POINTS.format(k="listing_no
  2 * 6371000 * asin(sqrt(least(1.0, pow(sin(radians(p.lat - l.lat) / 2), 2) + cos(radians(l.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - l.lon) / 2), 2)))) <= 100"""
 
 
+P3_COLUMNS_SQL = """WITH k AS (SELECT source_file_id, raw_json, unnest(json_keys(raw_json)) AS header FROM raw_rows WHERE source_file_id IS NOT NULL AND json_valid(raw_json) AND json_type(raw_json) = 'OBJECT'),
+t AS (SELECT k.source_file_id, header, CASE json_type(raw_json, '/' || replace(replace(header, '~', '~0'), '/', '~1')) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN NULL ELSE 'number' END AS jt FROM k JOIN source_files USING (source_file_id)),
+n AS (SELECT source_file_id, header, jt, count(*) AS n FROM t GROUP BY ALL)
+SELECT source_file_id, header, first(jt ORDER BY n DESC, jt) FILTER (WHERE jt IS NOT NULL) AS json_type, CAST(sum(n) AS BIGINT) AS n_rows FROM n GROUP BY source_file_id, header"""
+P4_CASES_SQL = """SELECT * FROM (VALUES (0, 1, 'a'), (0, 2, 'b'), (0, 3, 'c'), (0, 4, 'd, e'), (0, 5, 'f'), (1, 1, 'x'), (1, 2, 'y-z'), (1, 3, 'q "r"'), (2, 1, 'fromages (frais / affinés)'), (2, 2, 'œufs'), (3, 1, 'a'), (3, 2, 'a'), (4, 1, 'open "q'), (4, 2, 'b'), (5, 1, 'a (b'), (5, 2, 'c')) AS t(case_no, pos, item)"""
+P4_LISTS_SQL = """SELECT export_no, CAST(generate_subscripts(v, 1) AS INT) AS pos, unnest(v) AS item FROM (SELECT export_no, list_filter(list_transform(string_split_regex(sous_segment, '[|;]'), lambda x: trim(x)), lambda x: x <> '') AS v FROM producteurs_export WHERE sous_segment IS NOT NULL AND NOT regexp_matches(sous_segment, '[^\\p{L}\\p{N} |;]'))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return registry.ORACLES | {"p5_found": P5_SQL}
+    return registry.ORACLES | {"p3_columns": P3_COLUMNS_SQL, "p4_cases": P4_CASES_SQL, "p4_lists": P4_LISTS_SQL, "p5_found": P5_SQL}

@@ -45,9 +45,6 @@ ALIASES = {
 ACCENTED = "àâäáãåçéèêëîïíìñôöóòõûüúùÿœæ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyoa"
 
-CATALOGUE = "source_file_id bigint, header string, json_type string, n bigint"
-
-
 def header_key(header: Column) -> Column:
     """Letters and digits of a header, lower case, without accents."""
     return F.regexp_replace(F.translate(F.lower(header), ACCENTED, PLAIN), "[^a-z0-9]", "")
@@ -75,42 +72,22 @@ def field_column(key: Column, aliases: dict[str, list[str]] | None = None) -> Co
     return F.coalesce(F.element_at(exact, key), contained)
 
 
-def _json_type(value: object) -> str | None:
-    if value is None:
-        return None
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, (int, float)):
-        return "number"
-    if isinstance(value, str):
-        return "string"
-    return "object" if isinstance(value, dict) else "array"
+#: Names of the types a VARIANT may have and the JSON type of each (fixed values).
+JSON_TYPES = {"STRING": "string", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array", "BIGINT": "number", "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number"}
 
 
 def explode_footers(rows: DataFrame, file_key: str = "source_file_id", body: str = "raw_json") -> DataFrame:
     """Counts of (file, header, JSON type) over landed JSON rows; NULL values have type NULL.
 
-    Each Arrow batch is counted before anything is shuffled, so what moves is proportional to files times columns
-    times batches, not to rows. Text that is no JSON object holds no column.
+    Keys are exploded and counted in each partition before anything is shuffled, so what moves is proportional to files
+    times columns. Text that is no JSON object, or repeats a key, holds no column.
     """
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen: dict[tuple, int] = {}
-            for file_id, text in zip(batch["f"], batch["j"]):
-                try:
-                    row = json.loads(text)
-                except (TypeError, ValueError):
-                    continue
-                if isinstance(row, dict):
-                    for header, value in row.items():
-                        k = (file_id, header, _json_type(value))
-                        seen[k] = seen.get(k, 0) + 1
-            if seen:
-                yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["source_file_id", "header", "json_type", "n"])
-
-    lean = rows.filter(F.col(file_key).isNotNull()).select(F.col(file_key).cast("bigint").alias("f"), F.col(body).alias("j"))
-    return lean.mapInPandas(count, CATALOGUE).groupBy("source_file_id", "header", "json_type").agg(F.sum("n").alias("n"))
+    landed = rows.filter(F.col(file_key).isNotNull()).select(F.col(file_key).cast("bigint").alias("source_file_id"), F.try_parse_json(F.col(body)).alias("row"))
+    objects = landed.filter(F.schema_of_variant("row").startswith("OBJECT"))
+    each = objects.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("row").outer()))
+    kinds = F.create_map(*[F.lit(x) for pair in JSON_TYPES.items() for x in pair])
+    kind = F.element_at(kinds, F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0))
+    return each.select("source_file_id", F.col("key").alias("header"), kind.alias("json_type")).groupBy("source_file_id", "header", "json_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def catalogue(rows: DataFrame, files: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
@@ -135,10 +112,14 @@ def catalogue(rows: DataFrame, files: DataFrame, aliases: dict[str, list[str]] |
 
 
 def lifespans(columns: DataFrame) -> DataFrame:
-    """Islands of consecutive files with one (provider, header, json_type): started and ended ordinals."""
+    """Islands of consecutive files with one (provider, header, json_type): started and ended ordinals.
+
+    A file begins an island where the one before it, by ``lag``, isn't the file just before.
+    """
     key = ["provider", "header", "json_type"]
     run = Window.partitionBy(*key).orderBy("ordinal")
-    islands = columns.withColumn("island", F.col("ordinal") - F.row_number().over(run))
+    begins = F.coalesce(F.lag("ordinal").over(run) != F.col("ordinal") - 1, F.lit(True))
+    islands = columns.withColumn("begins", begins.cast("int")).withColumn("island", F.sum("begins").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return islands.groupBy(*key, "field", "island").agg(
         F.min("ordinal").alias("started"), F.max("ordinal").alias("ended"), F.max("last_ordinal").alias("last_ordinal")
     ).drop("island")

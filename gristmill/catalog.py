@@ -40,6 +40,11 @@ def p3_consolidated(spark: SparkSession, folder: str) -> DataFrame:
     return schema_drift.consolidate(table(spark, folder, "raw_rows"))
 
 
+def p3_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with numbers, yes or no, and dates in one type each, and what didn't fit."""
+    return schema_drift.cast_fields(p3_consolidated(spark, folder))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every value of a packed field that holds two or more, with its position (problem 4)."""
     return split_values.split_fields(table(spark, folder, "producteurs_export"), "export_no", PACKED_FIELDS, least=2).select("export_no", "field", "pos", "item")
@@ -75,7 +80,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (p3_found, p3_catalogue, p3_columns, p3_consolidated, p4_found, p4_all_values, p4_cases, p4_lists, p5_found)
+    found = (p3_found, p3_catalogue, p3_columns, p3_consolidated, p3_typed, p4_found, p4_all_values, p4_cases, p4_lists, p5_found)
     return {f.__name__: f for f in found} | registry.QUERIES
 
 

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.functions.dates import parse_date
 from gristmill.session import cut_lineage
 
 #: Alias table: canonical field -> headers of the providers, written as their letters and digits only (fixed values).
@@ -214,3 +215,29 @@ def consolidate(rows: DataFrame, aliases: dict[str, list[str]] | None = None) ->
 
     lean = rows.select(F.col("raw_id").cast("bigint"), F.col("source_file_id").cast("bigint"), F.col("row_index").cast("int"), "raw_json")
     return lean.mapInPandas(widen, "raw_id bigint, source_file_id bigint, row_index int, " + ", ".join(f"{f} string" for f in fields) + ", rest string")
+
+
+#: Fields that are no text and what they are cast to (fixed values).
+CASTS = {"farm_area": "double", "organic_label": "boolean", "creation_date": "date"}
+YES, NO = ["oui", "yes", "true", "vrai", "x", "1"], ["non", "no", "false", "faux", "0"]
+
+
+def cast_fields(wide: DataFrame, casts: dict[str, str] | None = None) -> DataFrame:
+    """``consolidate``'s table with each field of ``casts`` in one type, whatever types its files gave it.
+
+    A decimal comma, French words for yes and no, and the known ways of writing a date are understood. What can't be
+    cast is NULL and stands, as it was, in ``misfits`` (JSON, NULL where all fit).
+    """
+    casts = casts or CASTS
+
+    def converted(field: str, kind: str) -> Column:
+        text = F.trim(F.col(field))
+        if kind == "date":
+            return parse_date(text)
+        if kind == "boolean":
+            return F.when(F.lower(text).isin(*YES), F.lit(True)).when(F.lower(text).isin(*NO), F.lit(False))
+        return F.replace(F.regexp_replace(text, r"[\s\xa0]+", ""), F.lit(","), F.lit(".")).try_cast(kind)
+
+    lost = F.filter(F.array(*[F.struct(F.lit(f).alias("key"), F.when(converted(f, k).isNull() & (F.trim(F.col(f)) != ""), F.col(f)).alias("value")) for f, k in casts.items()]), lambda e: e["value"].isNotNull())
+    misfits = F.when(F.size(lost) > 0, F.to_json(F.map_from_entries(lost))).alias("misfits")
+    return wide.select(*[converted(c, casts[c]).alias(c) if c in casts else F.col(c) for c in wide.columns], misfits)

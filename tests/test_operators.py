@@ -251,5 +251,53 @@ def test_sources(spark, tmp_path):
     assert spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "out")).collect()[0]["t"] == "ab"
 
 
+def test_workbooks(spark, tmp_path):
+    from gristmill.sources import sheets
+
+    df = spark.createDataFrame([("00012", 3, 1.5, "a<b & \x0bc", None, "Sûr"), ("7", None, 2.0, " x ", "é", "Probable"), (None, 5, None, "", "z", "other")], "siret string, n int, v double, t string, u string, level string").repartition(2)
+    path = str(tmp_path / "out.xlsx")
+    sheets.write_workbook(spark, path, sheets.level_sheets(df, "level", ["Sûr", "Probable"], ["n"]) | {"all": df.orderBy("v")}, identifiers=("siret",))
+    got = sheets.read_sheets(spark, path, ["siret", "n", "t", "missing"])
+    assert rows(got) == [("out.xlsx", 0, "00012", "3", "a<b & c", None)]
+    assert rows(sheets.read_sheets(spark, path, ["siret", "v", "u"], "all")) == [("out.xlsx", 0, None, None, "z"), ("out.xlsx", 1, "00012", "1.5", None), ("out.xlsx", 2, "7", "2", "é")]
+    assert sheets.read_sheets(spark, path + ".missing", ["a"]).count() == 0
+    assert sheets._column_number("AA10") == 26 and sheets._column_name(26) == "AA" and sheets._column_name(0) == "A"
+
+
+def test_typed_fields(spark):
+    raw = spark.createDataFrame([(1, 1, 0, '{"SAU": "12,5", "Bio": "oui", "Date_Crea": "03/04/2020", "CP": "1"}'), (2, 1, 1, '{"SAU": "many", "Bio": true, "Date_Crea": null}'), (3, 1, 2, "broken")], "raw_id bigint, source_file_id bigint, row_index int, raw_json string")
+    typed = schema_drift.cast_fields(schema_drift.consolidate(raw))
+    assert rows(typed.select("raw_id", "farm_area", "organic_label", F.col("creation_date").cast("string"), "misfits")) == [(1, 12.5, True, "2020-04-03", None), (2, None, True, None, '{"farm_area":"many"}'), (3, None, None, None, None)]
+
+
+def test_base_edges(spark):
+    """NULL in any column, repeated rows, empty tables and extra columns of clashing names."""
+    from gristmill.operators import base as B
+
+    companies = spark.createDataFrame([(1, "111111111", "qualified", 9, None, "x"), (2, "222222222", "qualified", 9, None, "x"), (3, None, "pending", None, None, "x"), (4, "444444444", "qualified", 9, "1", "x")], "id bigint, siren string, qualification_status string, source_file_id bigint, duplicate_of string, pc string")
+    sites = spark.createDataFrame([(1, "11111111100011", 1, None, "1 Rue A", "1250", None), (2, None, 2, True, "1, rue a", "1250", "Fermé"), (3, None, 3, None, None, None, None), (4, None, 4, False, None, None, None)], "id bigint, siret string, company_id bigint, is_active boolean, address_line1 string, postal_code string, source_status string")
+    people = spark.createDataFrame([(1, 1, 1, None, None, "Liquidateur", "rne_dirigeant"), (2, 2, 2, "B", "0491123456", None, None)], "id bigint, site_id bigint, company_id bigint, full_name string, phone_main string, job_title string, name_source string")
+    mails = spark.createDataFrame([(1, 1, "a@b.fr", False, "unverified", "2020"), (2, 1, "v@b.fr", False, "valid", "2021"), (3, 1, "i@b.fr", True, "invalid", "2019")], "id bigint, contact_id bigint, email_address string, is_primary boolean, verification_status string, created_at string")
+    files = spark.createDataFrame([(9, "agriculture", 1)], "id bigint, sector string, row_count int")
+    base = B.Base(companies, sites, people, mails, files, spark.createDataFrame([(1, 9), (1, 9), (2, 9)], "company_id bigint, source_file_id bigint"))
+    got = {r["company_id"]: r for r in B.qualified_contacts(base).collect()}
+    assert set(got) == {1, 2} and got[1]["email_address"] == "v@b.fr" and got[1]["department_code"] == "01" and got[1]["shared_address_group"] == got[2]["shared_address_group"] is not None and got[2]["source_closed"] and got[1]["sectors"] == ["agriculture"]
+    sent = B.deliverable(B.qualified_contacts(base), base)
+    assert {r["business_id"]: r["in_liquidation"] for r in sent.collect()} == {"1": True}
+    assert [r["enrichment_priority"] for r in B.enrichment_queue(sent).collect()] == [4]
+    assert B.assertions(base, sent, ["agriculture"], {"agriculture": "a"}).filter("NOT ok AND severity = 'FAIL'").count() > 0
+    empty = B.Base(*[df.limit(0) for df in (companies, sites, people, mails, files, base.company_sources)])
+    assert B.qualified_contacts(empty).count() == 0 and B.assertions(empty, B.deliverable(B.qualified_contacts(empty), empty), [], {"a": "a"}).count() == 14
+
+
+def test_confidence_and_backfill(spark):
+    df = spark.createDataFrame([(True, 2, False, False), (True, 2, True, False), (None, None, None, None), (False, 1, False, True)], "a boolean, s int, p boolean, al boolean")
+    assert [r[0] for r in df.select(lifecycle.confidence_level(F.col("a"), F.col("s"), F.col("p"), F.col("al"))).collect()] == ["Sûr", "Probable", None, "Probable"]
+    base = spark.createDataFrame([("k", None), ("l", True), ("m", None)], "k string, is_active boolean")
+    raw = spark.createDataFrame([("k", '{"Etat": "Actif"}', 1), ("k", '{"ETAT": "Fermé"}', 2), ("l", '{"Etat": "Fermé"}', 3), ("m", "broken", 4), (None, None, 5)], "k string, j string, o int")
+    assert rows(lifecycle.backfill_status(base, raw, "k", "j", ["Etat", "ETAT"], "o")) == [("k", False), ("l", True), ("m", None)]
+    assert rows(lifecycle.audit_row("r", a=df, b=df.limit(0))) == [("r", '{"a":4,"b":0}')]
+
+
 def test_catalog_names():
     assert set(catalog.oracle_sql()) <= set(catalog.queries())

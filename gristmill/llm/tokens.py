@@ -7,6 +7,7 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +31,10 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = list(keep)
     if not os.path.exists(path):
         raise FileNotFoundError(path)
+    df.sparkSession.sparkContext.addFile(path)  # an executor without the file gets it with the job
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = load(path)
+        encoder = load(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
         for b in batches:
             tokens = [len(encoder.encode_ordinary(t)) if t else 0 for t in b["text"]]
             yield b[["id", *names]].assign(tokens=pd.Series(tokens, index=b.index, dtype="int64"))

@@ -95,9 +95,17 @@ P3_COLUMNS_SQL = """WITH k AS (SELECT source_file_id, raw_json, unnest(json_keys
 t AS (SELECT k.source_file_id, header, CASE json_type(raw_json, '/' || replace(replace(header, '~', '~0'), '/', '~1')) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN NULL ELSE 'number' END AS jt FROM k JOIN source_files USING (source_file_id)),
 n AS (SELECT source_file_id, header, jt, count(*) AS n FROM t GROUP BY ALL)
 SELECT source_file_id, header, first(jt ORDER BY n DESC, jt) FILTER (WHERE jt IS NOT NULL) AS json_type, CAST(sum(n) AS BIGINT) AS n_rows FROM n GROUP BY source_file_id, header"""
+ALIAS_ROWS = ", ".join(f"('{alias}', '{field}')" for field, aliases in schema_drift.ALIASES.items() for alias in aliases)
+P3_SQL = f"""WITH {P3_COLUMNS_SQL.removeprefix('WITH ').rsplit('SELECT', 1)[0].rstrip()}, c AS (SELECT source_file_id, header, first(jt ORDER BY n DESC, jt) FILTER (WHERE jt IS NOT NULL) AS jt, regexp_replace(lower(strip_accents(header)), '[^a-z0-9]', '', 'g') AS hk FROM n GROUP BY source_file_id, header),
+a(alias, field) AS (VALUES {ALIAS_ROWS}), f AS (SELECT c.*, coalesce((SELECT field FROM a WHERE alias = hk), (SELECT field FROM a WHERE length(alias) >= 4 AND contains(hk, alias) ORDER BY length(alias) DESC, alias LIMIT 1), hk) AS field FROM c),
+o AS (SELECT source_file_id, provider, row_number() OVER (PARTITION BY provider ORDER BY received_at NULLS FIRST, source_file_id) AS k FROM source_files), x AS (SELECT f.*, provider, k FROM f JOIN o USING (source_file_id)), later AS (SELECT * FROM o WHERE k > 1),
+cur AS (SELECT l.source_file_id AS file, header, jt, field FROM later l JOIN x ON x.provider = l.provider AND x.k = l.k), was AS (SELECT l.source_file_id AS file, header, jt, field FROM later l JOIN x ON x.provider = l.provider AND x.k = l.k - 1),
+fresh AS (SELECT *, row_number() OVER (PARTITION BY file, field ORDER BY header) AS nth FROM cur ANTI JOIN was USING (file, header)), gone AS (SELECT *, row_number() OVER (PARTITION BY file, field ORDER BY header) AS nth FROM was ANTI JOIN cur USING (file, header))
+SELECT file AS source_file_id, 'retyped' AS change_kind, header AS old_name, header AS new_name FROM cur JOIN was USING (file, header) WHERE cur.jt <> was.jt UNION ALL
+SELECT coalesce(a.file, b.file), CASE WHEN b.header IS NULL THEN 'added' WHEN a.header IS NULL THEN 'removed' ELSE 'renamed' END, coalesce(b.header, ''), coalesce(a.header, '') FROM fresh a FULL JOIN gone b ON a.file = b.file AND a.field = b.field AND a.nth = b.nth"""
 P4_CASES_SQL = """SELECT * FROM (VALUES (0, 1, 'a'), (0, 2, 'b'), (0, 3, 'c'), (0, 4, 'd, e'), (0, 5, 'f'), (1, 1, 'x'), (1, 2, 'y-z'), (1, 3, 'q "r"'), (2, 1, 'fromages (frais / affinés)'), (2, 2, 'œufs'), (3, 1, 'a'), (3, 2, 'a'), (4, 1, 'open "q'), (4, 2, 'b'), (5, 1, 'a (b'), (5, 2, 'c')) AS t(case_no, pos, item)"""
 P4_LISTS_SQL = """SELECT export_no, CAST(generate_subscripts(v, 1) AS INT) AS pos, unnest(v) AS item FROM (SELECT export_no, list_filter(list_transform(string_split_regex(sous_segment, '[|;]'), lambda x: trim(x)), lambda x: x <> '') AS v FROM producteurs_export WHERE sous_segment IS NOT NULL AND NOT regexp_matches(sous_segment, '[^\\p{L}\\p{N} |;]'))"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return registry.ORACLES | {"p3_columns": P3_COLUMNS_SQL, "p4_cases": P4_CASES_SQL, "p4_lists": P4_LISTS_SQL, "p5_found": P5_SQL}
+    return registry.ORACLES | {"p3_found": P3_SQL, "p3_columns": P3_COLUMNS_SQL, "p4_cases": P4_CASES_SQL, "p4_lists": P4_LISTS_SQL, "p5_found": P5_SQL}

@@ -48,26 +48,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back from there.
 
     A lost executor costs nothing: the files outlive it. Columnar files are smaller than a checkpoint's rows, and later
-    reads take only the columns they need. The session's tables are removed when the driver ends.
+    reads take only the columns they need. The session's tables are removed when the driver ends, or by ``remove_tables``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/gristmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
-    if len(_written) == 1:
-        atexit.register(_remove_written)
+    if not _registered:
+        _registered.append(atexit.register(_remove_written))
     return spark.read.schema(df.schema).parquet(path)
 
 
 _written: list[str] = []
+_registered: list = []
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Remove the tables written so far: for a long session, once what reads them is done."""
+    while _written:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _remove_written() -> None:
     spark = SparkSession.getActiveSession()
+    left = list(_written)
     try:
-        for path in _written:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove_tables(spark)
     except Exception:  # the JVM may be gone already
-        for path in _written:
+        for path in left:
             shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)

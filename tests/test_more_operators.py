@@ -58,3 +58,16 @@ def test_page_extras(column):
     assert column(pages.slug, ["L'Été à X!", ""]) == ["l-ete-a-x", ""]
     match = lambda h, n: pages.domain_matches_name(h, n, ["BOULANGERIE", "PAIN"])
     assert column(match, [("ohfaon.example", "OH FAON"), ("lamiedepain-boulangerie.fr", "La Mie du Pain"), ("alyncake.fr", "ALYN CAKE"), ("other.fr", None)]) == [True, False, True, False]
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from gristmill import session
+
+    unset = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="yarn", getConf=lambda: unset))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(cluster)

@@ -201,7 +201,15 @@ def grid_cells(spark: SparkSession, d: str) -> DataFrame:
 FEW_NAMES = 200_000
 
 
-@query()
+ASIDE_SQL = """'EARL','GAEC','SARL','EURL','SASU','SAS','SCEA','SCI','SCA','SNC','GFA','CUMA','SC','SA','EA','EI','COOP','SCV','SEP','M','MR','MME','MLLE','MONSIEUR','MADAME','ELEVAGE','ELEVEUR','ELEVEUSE','FERME','DOMAINE','EXPLOITATION','AGRICOLE','AGRICULTEUR',
+'PRODUCTEUR','PRODUCTEURS','VERGER','RUCHER','HARAS','ECURIE','ECURIES','CHATEAU','MAS','CLOS','BERGERIE','LA','LE','LES','DE','DU','DES','ET','AU','AUX','D','L','EN'"""
+
+
+@query(f"""WITH g AS (SELECT DISTINCT string_split({NORM_SQL.format(c='gerant')}, ' ')[1] AS w FROM population WHERE gerant IS NOT NULL), f AS (SELECT w FROM g WHERE length(w) >= 3),
+w AS (SELECT DISTINCT siret, list_filter(string_split(regexp_replace(upper(strip_accents(raisonSociale)), '[^A-Z]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws FROM population),
+k AS (SELECT siret, ws, list_filter(range(1, len(ws) + 1), lambda i: ws[i] NOT IN ({ASIDE_SQL})) AS ix FROM w WHERE NOT list_has_any(ws, ['SAINT', 'SAINTE', 'SAINTS', 'SAINTES', 'ST', 'STE'])),
+c AS (SELECT siret, ws[ix[1]] AS a, ws[ix[2]] AS b FROM k WHERE len(ix) = 2 AND ix[2] - ix[1] = 1), t AS (SELECT *, a IN (SELECT w FROM f) AS fa, b IN (SELECT w FROM f) AS fb FROM c WHERE length(a) >= 3 AND length(b) >= 3 AND a <> b)
+SELECT DISTINCT siret, CASE WHEN fa THEN a ELSE b END AS first_name, CASE WHEN fa THEN b ELSE a END AS last_name FROM t WHERE fa <> fb""")
 def parsed_people(spark: SparkSession, d: str) -> DataFrame:
     """Person's name read from a business name, with first names learned from the managers' column."""
     pop = table(spark, d, "population").select("siret", "raisonSociale", "gerant").distinct()

@@ -19,9 +19,10 @@ ROLE_RANKS = [
     (r"directeur general|\bdirecteur\b|\bdirectrice\b", 1), (r"\bexploitant", 1), (r"associe", 2), (r"administrateur|tresorier|secretaire|membre du", 3),
 ]
 AUDITOR, DEFAULT_RANK = "commissaire aux comptes", 4
-#: First path segments of a social network that are no business's own page (fixed values).
-FACEBOOK_ASIDE = """sharer sharer.php share share.php login login.php plugins dialog hashtag events watch reel groups policies help privacy legal tr l.php photo.php story.php
-home.php recover pages marketplace about posts photos photo videos video permalink story reviews notes live media reels""".split()
+#: First path segments of a social network that are no business's own page: its services, and what hangs below a page (fixed values).
+FACEBOOK_JUNK = """sharer sharer.php share share.php login login.php plugins dialog hashtag events watch reel groups policies help privacy legal
+tr l.php photo.php story.php home.php recover pages marketplace about""".split()
+FACEBOOK_DEEP = "posts photos photo videos video permalink story story.php reviews notes live media watch reel reels events groups".split()
 INSTAGRAM_ASIDE = "p reel reels explore accounts stories share developer about legal directory invites".split()
 
 
@@ -115,7 +116,7 @@ def social_page(url: Column) -> Column:
     linkedin = r"(?i)https?://(?:[a-z]+\.)?linkedin\.com/(company|in)/([^/?#\s]+)"
     return (
         F.when(profile != "", F.concat(F.lit("https://www.facebook.com/profile.php?id="), profile))
-        .when((facebook != "") & ~facebook.contains("/") & ~F.lower(facebook).isin(*FACEBOOK_ASIDE) & ~F.lower(facebook).endswith(".php"), F.concat(F.lit("https://www.facebook.com/"), facebook))
+        .when((facebook != "") & ~facebook.contains("/") & ~F.lower(facebook).isin(*FACEBOOK_JUNK, *FACEBOOK_DEEP) & ~F.lower(facebook).endswith(".php"), F.concat(F.lit("https://www.facebook.com/"), facebook))
         .when((instagram != "") & ~F.lower(instagram).isin(*INSTAGRAM_ASIDE), F.concat(F.lit("https://www.instagram.com/"), instagram))
         .when(u.rlike(linkedin), F.concat(F.lit("https://www.linkedin.com/"), F.lower(F.regexp_extract(u, linkedin, 1)), F.lit("/"), F.regexp_extract(u, linkedin, 2)))
     )

@@ -216,6 +216,13 @@ def test_survivors_keep_rows_without_siret(spark, tmp_path):
     assert registry.p2_found(spark, str(tmp_path)).count() == 0
 
 
+def test_space_grows_while_it_is_asked():
+    space = entity_match.Space(entity_match.initial_vectors(), np.ones(entity_match.BUCKETS, dtype=np.int64))
+    for k in range(3000):
+        assert space.rarest([f"W{k}", f"V{k}"])[0] in (f"W{k}", f"V{k}") and entity_match.heavier_half(f"X{k} Y{k}", space)
+    assert len(space.texts) == 12_000 and len(space.slip_hashes(np.arange(12_000))[0]) > 0
+
+
 @pytest.mark.parametrize("whole,chunk", [(1 << 16, 1 << 13), (1 << 16, 256), (64, 32)])
 def test_index_recall_does_not_fall_with_the_crowd(spark, monkeypatch, whole, chunk):
     """Slips and partial names without a way, in one town: few or many records there, one block, chunks or cut by hyperplanes and exact keys, the index finds them alike."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import contact, dates, geo, names, places
 from gristmill.functions.text import norm
+from gristmill.operators.dedup import rarest_first
 from gristmill.operators.spatial import distance_join
 from gristmill.session import cut_lineage
 
@@ -64,9 +65,8 @@ def registry_side(df: DataFrame) -> DataFrame:
 
 
 def _prefix(words: Column, least: float) -> Column:
-    """Words of which two sets with a Jaccard similarity of ``least`` share one, in an order that all rows use."""
-    ordered = F.transform(F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), lambda x: x["w"])
-    return F.slice(ordered, 1, F.greatest(F.size(words) - F.ceil(F.size(words) * F.lit(least)).cast("int") + 1, F.lit(0)))
+    """Words of which two sets with a Jaccard similarity of ``least`` share one, of sets in an order that all rows use."""
+    return F.slice(words, 1, F.greatest(F.size(words) - F.ceil(F.size(words) * F.lit(least)).cast("int") + 1, F.lit(0)))
 
 
 def _jaccard(a: str | Column, b: str | Column) -> Column:
@@ -154,7 +154,11 @@ def match(listings: DataFrame, registry: DataFrame, min_gap_days: int = 365) ->
     Several establishments at one address that no name tells apart: the one opened at least ``min_gap_days`` after the
     next is taken, else the rung rejects. A missing date counts as the oldest. Listings that no rung decides have no row.
     """
-    listings, registry = cut_lineage(listings), cut_lineage(registry)  # taken apart once, read by every rung
+    every_word = registry.select(F.explode(F.concat(F.flatten("p_names"), "p_street")).alias("w"))
+    order = rarest_first(every_word)  # so that sets meet at their rarest words
+    names_in_order = lambda c: F.transform(c, lambda w: order(w))
+    listings = cut_lineage(listings.withColumns({"l_words": order("l_words"), "l_names": names_in_order("l_names"), "l_street": order("l_street")}))  # taken apart once, read by every rung
+    registry = cut_lineage(registry.withColumns({"p_names": names_in_order("p_names"), "p_street": order("p_street")}))
     found: list[DataFrame] = []
     for rung in (by_identifier, by_point, lambda a, b: by_address(a, b, min_gap_days), by_name):
         found.append(cut_lineage(rung(listings, registry)))

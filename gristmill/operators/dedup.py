@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,20 +29,24 @@ def exact_key(df: DataFrame, id_col: str, keys: list[Column], identifier: str, o
     return joined.filter(same).select(F.col(id_col), F.col("s.id").alias("survivor"), "members")
 
 
-#: Counts of trigrams are kept by a hash of this many values: what orders them by rarity, whatever the data's size.
-GRAM_HASHES = 1 << 16
+#: Counts of words or trigrams are kept by a hash of this many values: what orders them by rarity, whatever the data's size.
+SLOTS = 1 << 16
 
 
-def _by_rarity(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``grams`` in one order for all of them, the rarest first."""
-    slot = lambda g: F.pmod(F.xxhash64(g), F.lit(GRAM_HASHES)).cast("int")
-    counted = rows.select(F.explode("grams").alias("g")).groupBy(slot(F.col("g")).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()  # GRAM_HASHES rows at most
-    counts = [0] * GRAM_HASHES
+def rarest_first(values: DataFrame) -> Callable[[str | Column], Column]:
+    """What puts an ARRAY of texts in one order for all rows, the rarest first, by how often they are in ``values`` (one column)."""
+    slot = lambda g: F.pmod(F.xxhash64(g), F.lit(SLOTS)).cast("int")
+    counted = values.select(slot(F.col(values.columns[0])).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n")).collect()  # SLOTS rows at most
+    counts = [0] * SLOTS
     for r in counted:
         counts[r["slot"]] = r["n"]
     table = F.split(F.lit(",".join(map(str, counts))), ",").cast("array<bigint>")  # one constant of the plan
-    ranked = F.transform("grams", lambda g: F.struct(F.element_at(table, slot(g) + 1).alias("n"), F.xxhash64(g).alias("h"), g.alias("g")))
-    return rows.withColumn("grams", F.transform(F.array_sort(ranked), lambda x: x["g"]))
+
+    def ordered(words: str | Column) -> Column:
+        ranked = F.transform(words, lambda g: F.struct(F.element_at(table, slot(g) + 1).alias("n"), F.xxhash64(g).alias("h"), g.alias("g")))
+        return F.transform(F.array_sort(ranked), lambda x: x["g"])
+
+    return ordered
 
 
 def similar_pairs(df: DataFrame, id_col: str, text: Column, blocks: list[str], least: float, hot_from: int = 2_000) -> DataFrame:
@@ -58,7 +64,8 @@ def similar_pairs(df: DataFrame, id_col: str, text: Column, blocks: list[str], l
     for b in block:
         rows = rows.filter(F.col(b).isNotNull())
     rows = cut_lineage(rows.withColumn("same", F.xxhash64(*block, "grams")))
-    firsts = cut_lineage(_by_rarity(rows.groupBy("same", *block, "grams").agg(F.min("id").alias("id")).drop("same")))
+    firsts = rows.groupBy("same", *block, "grams").agg(F.min("id").alias("id")).drop("same")
+    firsts = cut_lineage(firsts.withColumn("grams", rarest_first(rows.select(F.explode("grams")))("grams")))
     own = firsts.select(F.col("id").alias("id_a"), *block, F.array_sort("grams").alias("grams"))
     copies = rows.join(own.withColumn("same", F.xxhash64(*block, "grams")), ["same", *block, "grams"]).filter("id <> id_a").select("id_a", F.col("id").alias("id_b"), F.lit(1.0).alias("similarity")).distinct()
     length = F.size("grams") - F.ceil(F.size("grams") * F.lit(least)).cast("int") + 1

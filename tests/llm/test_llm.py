@@ -1,4 +1,6 @@
 import random
+import tracemalloc
+import types
 
 import numpy as np
 import pandas as pd
@@ -311,6 +313,47 @@ def test_block_against_pair_by_pair():
                     assert (i, j) not in got
 
 
+def _scored(rows: list[dict], together: int = 500) -> dict:
+    """(listing, establishment) -> (jaccard, contained) as a worker scores sorted rows of blocks."""
+    packed = lambda r: entity_match.PACK.join(r[c] or "" for c in entity_match.PACKED)
+    schema = pa.schema([("key", pa.int64()), ("side", pa.int8()), ("rid", pa.int64()), ("facts", pa.string()), ("lat", pa.float64()), ("lon", pa.float64())])
+    model = types.SimpleNamespace(value=entity_match.Model(entity_match.initial_vectors(), np.zeros(entity_match.BUCKETS, dtype=np.int64) + 5))
+    run = entity_match.score_blocks(types.SimpleNamespace(mapInArrow=lambda run, shape: run), model)
+    batches, got = pa.Table.from_pylist([r | {"facts": packed(r)} for r in rows], schema=schema).to_batches(together), {}
+    tracemalloc.start()
+    for b in run(iter(batches)):
+        l, r = b["rid"].to_numpy(), b["found"].to_numpy()
+        got.setdefault("pairs", []).append(l * len(rows) + r)
+        got.setdefault("shares", []).append(np.stack([b["jaccard"].to_numpy(), b["contained"].to_numpy()]))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return {"pairs": np.concatenate(got["pairs"]), "shares": np.concatenate(got["shares"], axis=1), "mb": peak}
+
+
+def test_scoring_holds_few_pairs_at_a_time():
+    """A block whose records all meet by an address, a table or a slip, not by equal words, takes no more memory for it."""
+    record = lambda k: dict(key=1, side=int(k >= 1000), rid=k, names=f"MOULIN{'S' * (k >= 1000)}", number="1", suffix="", kind="RUE", way="HAUTE", postcode="63370", commune="VILLE", lat=None, lon=None, siret=None)
+    got = _scored([record(k) for k in range(2000)])
+    assert len(np.unique(got["pairs"])) == len(got["pairs"]) == 1_000_000
+    assert got["mb"] < 400  # all pairs at once: 695
+
+
+def test_large_block_in_pieces_gives_what_the_whole_gives(monkeypatch):
+    """Every listing of a block meets every establishment, also where the block is compared piece by piece."""
+    rng = random.Random(9)
+    words = ["MOULIN", "MOULINS", "CHENE", "CHENES", "DUPONT", "DUPOND", "JEAN", "FERME", "VERGER"]
+    name = lambda: "|".join(" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(rng.randrange(1, 3)))
+    rows = [dict(key=k // 90, side=k % 2, rid=k, names=name(), number=rng.choice(["", "1"]), suffix="", kind="RUE", way=rng.choice(["", "HAUTE", "HAUT"]), postcode="63370", commune="VILLE", lat=None, lon=None, siret=rng.choice([None, "1"])) for k in range(180)]
+    whole = _scored(rows, 1000)
+    monkeypatch.setattr(entity_match, "PIECE", 16)
+    monkeypatch.setattr(entity_match, "MOST_TOKENS", 4)
+    parts = _scored(rows, 1000)
+    at = {p: k for k, p in enumerate(parts["pairs"].tolist())}
+    assert len(at) == len(parts["pairs"]) and set(whole["pairs"].tolist()) <= set(at)
+    assert np.allclose(whole["shares"], parts["shares"][:, [at[p] for p in whole["pairs"].tolist()]])
+    assert {(p // 180 // 90, p % 180 // 90) for p in at} == {(0, 0), (1, 1)}
+
+
 def test_training_brings_words_of_one_meaning_together(spark):
     """Sources that say one trade in two words: only what was learned makes the two alike, so untrained vectors fail this."""
     rng = random.Random(4)

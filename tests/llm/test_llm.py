@@ -484,5 +484,47 @@ def test_token_counts(spark):
     assert got[1] == len(tokens.load().encode_ordinary("Bonjour le monde")) and got[2] == got[3] == 0 and got[4] > 100
 
 
+def test_many_texts_at_once_as_one_by_one():
+    """Names and addresses folded a batch at a time give what each gives alone, also where a text has several lines."""
+    texts = ["Gaec du Pré, l'Île", None, "", "M. Œuf M. Ï", "sarl à la ferme", "S.C.E.A. Straße sur rendez-vous", "M", "12 bis, av. de l'Église - 63370 St-X", "\"N° 5 TER,  LIEU-DIT «Y»", "rue haute 12 T", "hameau, 3 rte. d'Aix", "L'Orée", "5", "de l É"]
+    codes, towns = ["63370", None, "6337.0"] * 5, ["S/ Mer", None, "Cedex"] * 5
+    for some in (texts, [*texts, "12\nrue X\n"], []):
+        assert list(address_parts.parsed(some, codes[: len(some)], towns[: len(some)])) == [tuple(parse(*x)) for x in zip(some, codes, towns)]
+        assert entity_match.names_tokens(some) == [entity_match.name_tokens(t) for t in some]
+
+
+def test_slip_codes_meet_as_slip_keys_do(monkeypatch):
+    """Words share a code made by arrays where they share a key; a block makes no key word by word."""
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("ABÉ") for _ in range(rng.randrange(1, 12))) for _ in range(150)})
+    n, codes = entity_match.slip_codes(words)
+    ends = np.cumsum(n)
+    mine = [set(codes[e - k : e].tolist()) for k, e in zip(n.tolist(), ends.tolist())]
+    keys = [set(entity_match.slip_keys(w)) for w in words]
+    assert all(bool(mine[i] & mine[j]) == bool(keys[i] & keys[j]) for i in range(len(words)) for j in range(len(words)))
+
+    def none(word):
+        raise AssertionError("a key by itself")
+
+    monkeypatch.setattr(entity_match, "slip_keys", none)
+    record = lambda k: dict(key=1, side=k % 2, rid=k, names=f"MOULIN{'S' * (k % 2)}", number="", suffix="", kind="", way="", postcode="63370", commune="VILLE", lat=None, lon=None, siret=None)
+    assert len(np.unique(_scored([record(k) for k in range(40)])["pairs"])) == 20 * 20
+
+
+def test_close_beside_longer_texts():
+    """Texts too long for their partner, or for the arrays, don't hinder the pairs compared as one."""
+    texts = ["HAUTE", "HAUT", "A DE LA TRES LONGUE RUELLE", "X" * 100, "X" * 99 + "Y"]
+    a, b = np.array([0, 0, 0, 3]), np.array([1, 2, 3, 4])
+    assert entity_match.close(texts, a, b, 2).tolist() == [True, False, False, True]
+
+
+def test_inputs_of_scored_pairs(spark):
+    """What is worked out from the few fields written of a pair; without points it is neither near nor far."""
+    rows = [(1, 1, True, True, metres, place, commune, 0.5, 0.75, 0.25, 0.5) for metres, place, commune in ((float("nan"), 3, 2), (200.0, 0, 0), (300.0, 2, 1), (2000.0, 1, 1))]
+    got = spark.createDataFrame(rows, entity_match.SCORED).select(*[x.alias(c) for c, x in entity_match.inputs().items()])
+    assert got.columns == entity_match.INPUTS and [tuple(r)[4:] for r in got.collect()] == [
+        (1, 0, 0, 1, 0, 0, 0, 0, 0.75, 0), (0, 0, 1, 0, 1, 1, 0, 0, 0, 0.75), (0, 1, 0, 0, 0, 0, 1, 0, 0.75, 0), (0, 0, 0, 0, 0, 0, 0, 1, 0, 0)]
+
+
 def test_parts_are_pandas_free():
     assert isinstance(pd.DataFrame([parse("1 rue X", None, None)], columns=same_address.PARTS), pd.DataFrame) and address_parts.upper("œuf é") == "OEUF E"
